@@ -83,10 +83,13 @@ def _alike(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(pd.DataFrame(dict.fromkeys(rows).keys(), columns=["direction", "ch", "like"]).drop_duplicates(["direction", "ch"]), "direction string, ch string, like string")
 
 
-@F.pandas_udf("string")
-def _compose_rest(clusters: pd.Series) -> pd.Series:
+def _compose_rest(cluster: str) -> Column:
     """For letters with several marks of which only some can be composed."""
-    return clusters.map(lambda x: unicodedata.normalize("NFC", x))
+
+    def compose(clusters: pd.Series) -> pd.Series:
+        return clusters.map(lambda x: unicodedata.normalize("NFC", x))
+
+    return F.pandas_udf(compose, "string")(cluster)
 
 
 def _direction() -> Column:
