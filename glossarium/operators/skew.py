@@ -30,3 +30,9 @@ def salted_lookup(rows: DataFrame, lookup: DataFrame, on: list[str], row_id: lis
 def union_all(frames: list[DataFrame]) -> DataFrame:
     """Union by name of frames with the same columns."""
     return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """df in as many partitions as a shuffle has, also where few bytes would be coalesced; for work that costs much per row."""
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(n, *(columns or df.columns))
