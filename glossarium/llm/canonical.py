@@ -7,10 +7,13 @@ import unicodedata
 from collections.abc import Iterable, Iterator, Sequence
 from itertools import islice, permutations, product
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from glossarium.operators.skew import spread
+
 #: Reference lists up to this many entries go to every task; longer ones are cut into shards of this size.
 SHARD_ENTRIES = 20_000
 #: Radii of the search for short and for long values; what it returns is then judged. Two neighbouring letters that
@@ -185,11 +188,22 @@ def acceptable(typed: str, stored: Sequence[str]) -> int | None:
     return None if len(term) <= 3 or len(typed) <= 2 or n > (1 if len(term) <= 7 else 2) else n
 
 
+_LETTERS = {c: i for i, c in enumerate("abcdefghijklmnopqrstuvwxyz0123456789")}
+
+
+def _bag(text: str) -> np.ndarray:
+    """How often each letter or digit occurs; all others count together."""
+    out = np.zeros(len(_LETTERS) + 1, dtype=np.int32)
+    for c in text:
+        out[_LETTERS.get(c, -1)] += 1
+    return out
+
+
 class Matcher:
     """The reference entries of one shard, one tree per kind."""
 
     def __init__(self, terms: Iterable[tuple[int, str, str]], abbreviated: Sequence[str]) -> None:
-        self.abbreviated, self.trees, self.by_key, self.words = set(abbreviated), {}, {}, {}
+        self.abbreviated, self.trees, self.by_key, self.words, self.bags = set(abbreviated), {}, {}, {}, {}
         grouped: dict[str, list[tuple[int, str]]] = {}
         for term_id, kind, canonical in terms:
             grouped.setdefault(kind, []).append((term_id, canonical))
@@ -199,7 +213,14 @@ class Matcher:
                 if words:
                     self.by_key.setdefault((kind, "".join(words)), (term_id, words))
                     self.words.setdefault(kind, set()).update(words)
-            self.trees[kind] = BKTree(key for k, key in self.by_key if k == kind)
+            keys = [key for k, key in self.by_key if k == kind]
+            self.trees[kind] = BKTree(keys)
+            self.bags[kind] = np.array([_bag(key) for key in keys]).reshape(len(keys), -1)
+
+    def _near(self, kind: str, typed: str, most: int) -> bool:
+        """Whether some entry's letters differ from the typed ones in at most so many; edits are never fewer than that."""
+        gap = self.bags[kind] - _bag(typed)
+        return bool(np.any(np.maximum(np.maximum(gap, 0).sum(axis=1), np.maximum(-gap, 0).sum(axis=1)) <= most))
 
     def find(self, kind: str, value: str) -> tuple[int, int]:
         """(rank, term_id) of the best entry, (-1, 0) if there is none.
@@ -220,12 +241,17 @@ class Matcher:
         tree = self.trees.get(kind)
         if tree is None:
             return -1, 0
-        asked = set()
+        asked, bags = set(), {}
         for cost, words in readings:
             typed = "".join(words)
             if typed in asked or len(typed) < 3:
                 continue
             asked.add(typed)
+            letters = "".join(sorted(typed))
+            if letters not in bags:
+                bags[letters] = self._near(kind, typed, 2)
+            if not bags[letters]:
+                continue
             known = self.words[kind].intersection(words)
             for _, key in tree.within(typed, RADIUS_LONG if len(typed) >= LONG else RADIUS_SHORT):
                 term_id, stored = self.by_key[kind, key]
@@ -261,7 +287,7 @@ def canonical_terms(values: DataFrame, terms: DataFrame, abbreviated: Sequence[s
                 found = [matcher.find(k, v) for k, v in zip(batch["kind"], batch["value"])]
                 yield batch.assign(rank=[f[0] for f in found], term_id=[f[1] for f in found])
 
-        return asked.mapInPandas(search, schema).select("kind", "value", "term_id")
+        return spread(asked).mapInPandas(search, schema).select("kind", "value", "term_id")
 
     buckets = 64
     parts = entries.withColumn("shard", F.pmod(F.xxhash64("term_id"), F.lit(shards))).withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
