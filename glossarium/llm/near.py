@@ -17,6 +17,7 @@ from math import ceil
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glossarium.llm.canonical import edits
@@ -96,29 +97,34 @@ def similar_classes(classes: DataFrame, threshold: float) -> DataFrame:
     """
     if threshold <= 2 / 3:
         raise ValueError("the cells need a threshold above 2/3")
-    sized = cut(_units(classes).withColumn("n", F.size("words")).where("n >= 3"))
+    sized = cut(_units(classes).withColumns({"n": F.size("words"), "sketch": _sketch("words")}).where("n >= 3"))
     entered = None
     for depth in (3, 2, 1):
         own = sized.where((_depth(F.col("n")) == depth) | (_depth(F.floor(F.col("n") / threshold + _EPS)) == depth))
-        got = own.select("class_id", "n", F.explode(_cells("units", depth, F.col("n") - _needed(F.col("n"), threshold) + depth)).alias("c")).select(
-            F.col("c.cell").alias("cell"), F.col("c.last").alias("last"), F.lit(depth).alias("depth"), "class_id", "n"
+        got = own.select("class_id", "sketch", "n", F.explode(_cells("units", depth, F.col("n") - _needed(F.col("n"), threshold) + depth)).alias("c")).select(
+            F.col("c.cell").alias("cell"), "class_id", "sketch", (F.shiftleft(F.col("n").cast("bigint"), 32) + F.col("c.last") * 4 + depth).alias("meta")
         )
         entered = got if entered is None else entered.unionByName(got)
-    crowds = entered.groupBy("cell").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1")
-    shared = entered.join(crowds, "cell")
-    calm = shared.where(F.col("crowd") <= HOT).select("cell", "class_id", "n")
+    # One shuffle by cell; the counting window and the join of calm cells stay on it.
+    shared = entered.withColumn("crowd", F.count(F.lit(1)).over(W.partitionBy("cell"))).where("crowd > 1")
+    n_of = F.shiftright("meta", 32).cast("int").alias("n")
+    calm = shared.where(F.col("crowd") <= HOT).select("cell", "class_id", "sketch", n_of)
     # Refined: the next two common units, which lie in the next places of the range; sets whose least overlap is
     # less than depth + 2 (fewer than seven words) stay in the cell, as they have hardly more units than it names.
-    hot = shared.where(F.col("crowd") > HOT).join(sized.select("class_id", "units"), "class_id")
+    hot = (
+        shared.where(F.col("crowd") > HOT)
+        .select("cell", "class_id", "sketch", n_of, F.shiftright(F.col("meta").bitwiseAND(0xFFFFFFFF), 2).cast("int").alias("last"), F.col("meta").bitwiseAND(3).cast("int").alias("depth"))
+        .join(sized.select("class_id", "units"), "class_id")
+    )
     needed = _needed(F.col("n"), threshold)
     reach = F.least(F.col("n") - needed + F.col("depth") + 2, F.size("units"))
     later = F.slice("units", F.col("last") + 2, F.greatest(reach - F.col("last") - 1, F.lit(0)))
     refined = hot.where(needed >= F.col("depth") + 2).withColumn("later", later)
-    finer = refined.select(F.explode(_cells("later", 2, F.size("later"))).alias("c"), "cell", "class_id", "n").select(F.xxhash64("cell", "c.cell").alias("cell"), "class_id", "n")
+    finer = refined.select(F.explode(_cells("later", 2, F.size("later"))).alias("c"), "cell", "class_id", "sketch", "n").select(F.xxhash64("cell", "c.cell").alias("cell"), "class_id", "sketch", "n")
     # A small set in a refined cell may have partners of any size: it meets them in the unrefined cell.
-    small = hot.where(needed < F.col("depth") + 2).select("cell", "class_id", "n")
-    meets_small = hot.join(small.select("cell").distinct(), "cell", "left_semi").select("cell", "class_id", "n").where(F.floor(F.col("n") * threshold + _EPS) <= 7)
-    pairs = _pairs(calm.unionByName(finer), threshold).unionByName(_pairs(meets_small, threshold, smallest=7)).distinct()
+    small = hot.where(needed < F.col("depth") + 2).select("cell").distinct()
+    meets_small = hot.where(F.floor(F.col("n") * threshold + _EPS) <= 7).join(small, "cell", "left_semi").select("cell", "class_id", "sketch", "n")
+    pairs = _pairs(calm, threshold).unionByName(_pairs(finer, threshold)).unionByName(_pairs(meets_small, threshold, smallest=7)).distinct()
     left = sized.select(F.col("class_id").alias("class_a"), F.col("words").alias("words_a"), F.col("units").alias("units_a"))
     right = sized.select(F.col("class_id").alias("class_b"), F.col("words").alias("words_b"), F.col("units").alias("units_b"))
     total = F.size("words_a") + F.size("words_b")
@@ -133,9 +139,19 @@ def similar_classes(classes: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def _sketch(words: str) -> Column:
+    """64 bits, each the parity of the words that hash to it: two sketches differ in at most as many bits as there are words in one set only."""
+    return F.aggregate(
+        F.transform(words, lambda w: F.pmod(F.xxhash64(w, F.lit(7)), F.lit(64)).cast("int")), F.lit(0).cast("bigint"), lambda acc, bit: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit))
+    )
+
+
 def _pairs(cells: DataFrame, threshold: float, smallest: int | None = None) -> DataFrame:
+    """Pairs of a cell that sizes and sketches allow; what they rule out is never written."""
     a, b = cells.alias("a"), cells.alias("b")
     fits = (F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * threshold - _EPS) & (F.col("a.class_id") < F.col("b.class_id"))
+    total = F.col("a.n") + F.col("b.n")
+    fits &= F.bit_count(F.col("a.sketch").bitwiseXOR(F.col("b.sketch"))) <= total - 2 * F.ceil(total * (threshold / (1 + threshold)) - _EPS)
     if smallest:
         fits &= F.least("a.n", "b.n") < smallest
     return a.join(b, (F.col("a.cell") == F.col("b.cell")) & fits).select(F.col("a.class_id").alias("class_a"), F.col("b.class_id").alias("class_b"))
@@ -154,13 +170,19 @@ def same_title(a: str, b: str) -> bool:
         best = min(left, key=lambda v: (edits(w, v), v))
         d = edits(w, best)
         if d > (2 if max(len(w), len(best)) >= 6 else 1):
-            best = next((v for v in left if min(len(w), len(v)) >= 3 and (v.startswith(w) or w.startswith(v))), None)
+            best = next((v for v in left if _cut_short(w, v)), None)
         if best is None:
             return False
         left.remove(best)
     return True
 
 
+def _cut_short(a: str, b: str) -> bool:
+    """Whether the shorter word begins the longer one, with at most one misspelling from four letters on."""
+    n = min(len(a), len(b))
+    return n >= 3 and (a[:n] == b[:n] or (n >= 4 and edits(a[:n], b[:n]) <= 1))
+
+
 def _title_words(title: str) -> list[str]:
     text = unicodedata.normalize("NFKC", title).casefold().replace("'", "").replace("’", "")
     words = re.findall(r"[^\W_]+", text)
