@@ -11,6 +11,7 @@ from glossarium.functions.keys import STOP_KEYS, match_keys_column
 from glossarium.functions.text import WILDCARD_POS, dot, normalize_pos
 from glossarium.operators.relational import contained_pairs, keep_one
 from glossarium.operators.skew import salted_lookup
+from glossarium.session import cut
 
 
 def sense_keys(senses: DataFrame) -> DataFrame:
@@ -82,7 +83,8 @@ def by_vectors(tied: DataFrame, vectors: DataFrame) -> DataFrame:
 def resolve(relations: DataFrame, senses: DataFrame, synonyms: DataFrame, encode: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(relation_id, sense_id, stage): the sense of each relation that could be resolved, by `single` candidate, `rule`, or
     `vector`. senses: sense_id, display_form, slug, pos, word. encode turns (sense_id) into (sense_id, vector)."""
-    judged = best_candidates(evidence(candidates(relations, sense_keys(senses)), senses.select("sense_id", "word"), synonyms))
+    found = cut(candidates(relations, cut(sense_keys(senses))))
+    judged = cut(best_candidates(cut(evidence(found, senses.select("sense_id", "word"), synonyms))))
     clear = judged.where("not needs_vectors").select("relation_id", "sense_id", F.when(F.col("candidates") == 1, "single").otherwise("rule").alias("stage"))
     if encode is None:
         return clear

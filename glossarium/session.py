@@ -4,8 +4,14 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import glossarium
+
+# Functions that run in Python workers travel whole, so the workers need not have the package on their path.
+cloudpickle.register_pickle_by_value(glossarium)
+
 
 def build_session(app: str = "glossarium", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators rely on: UTC, AQE with skew handling, Arrow."""
