@@ -49,7 +49,7 @@ def missing_references(tables: Mapping[str, Keyed], key: ForeignKey) -> DataFram
     rows = child.frame.select(child.row_key.alias("row_key"), F.col(key.column).alias("missing_key")).where("missing_key is not null")
     present = tables[key.parent].frame.select(F.col(key.parent_key).alias("missing_key"))
     missing = rows.select("missing_key").distinct().join(present, "missing_key", "left_anti")
-    return salted_lookup(rows, missing, ["missing_key"], ["row_key"], "left_semi").distinct()
+    return salted_lookup(rows, missing, ["missing_key"], ["row_key"], "left_semi").select("row_key", "missing_key").distinct()
 
 
 def _order(keys: Sequence[ForeignKey]) -> list[str] | None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossarium.functions import text as tx
@@ -15,7 +15,10 @@ from glossarium.operators import synonyms as sy
 from glossarium.sources.tables import load
 from glossarium.streaming.events import event_stream, run_to_table, velocity
 
-N = F.count(F.lit(1)).alias("n")
+
+
+def _n() -> Column:
+    return F.count(F.lit(1)).alias("n")
 
 
 def _dictionary(spark: SparkSession, d: str) -> DataFrame:
@@ -50,7 +53,7 @@ def polysemous_words(spark: SparkSession, d: str) -> DataFrame:
 def four_way_join(spark: SparkSession, d: str) -> DataFrame:
     """Open synonym relations with the word and part of speech they belong to, counted."""
     open_ = load(spark, d, "sense_synonyms", "id", "sense_id", "is_antonym", "target_sense_id").where("is_antonym = 0 and target_sense_id is null").select("id", "sense_id").distinct()
-    return open_.join(_dictionary(spark, d).select("sense_id", "pos", "word_id"), "sense_id").groupBy("pos").agg(N, F.countDistinct("word_id").alias("words"))
+    return open_.join(_dictionary(spark, d).select("sense_id", "pos", "word_id"), "sense_id").groupBy("pos").agg(_n(), F.countDistinct("word_id").alias("words"))
 
 
 def double_mapping_join(spark: SparkSession, d: str) -> DataFrame:
@@ -65,7 +68,7 @@ def double_mapping_join(spark: SparkSession, d: str) -> DataFrame:
 def fanout_join(spark: SparkSession, d: str) -> DataFrame:
     """How many synonym rows each sense has that became unified senses, counted over all of these."""
     u = load(spark, d, "unified_senses", "id", "cambridge_sense_id").where("cambridge_sense_id is not null").distinct()
-    syn = load(spark, d, "sense_synonyms", "id", "sense_id").distinct().groupBy("sense_id").agg(N)
+    syn = load(spark, d, "sense_synonyms", "id", "sense_id").distinct().groupBy("sense_id").agg(_n())
     return u.join(syn.withColumnRenamed("sense_id", "cambridge_sense_id"), "cambridge_sense_id").select(F.col("id").alias("unified_id"), "n")
 
 
@@ -157,7 +160,7 @@ def consolidated_senses(spark: SparkSession, d: str) -> DataFrame:
     built = co.build_words(words, unified)
     entries, _ = co.build_entries(load(spark, d, "entries").distinct(), built, unified)
     senses = co.build_senses(unified, load(spark, d, "senses"), entries, built)
-    return senses.groupBy("source", "cefr_level").agg(N)
+    return senses.groupBy("source", "cefr_level").agg(_n())
 
 
 def consolidated_definitions(spark: SparkSession, d: str) -> DataFrame:
@@ -165,7 +168,7 @@ def consolidated_definitions(spark: SparkSession, d: str) -> DataFrame:
     unified = load(spark, d, "unified_senses", "id", "cambridge_sense_id").groupBy("id").agg(F.min("cambridge_sense_id").alias("source_sense_id"))
     stand_in = unified.select("id", F.col("id").alias("unified_id"), "source_sense_id", F.lit("").alias("word"), F.lit("").alias("pos"))
     out = co.build_definitions(stand_in, load(spark, d, "senses", "id", "definition"), load(spark, d, "unified_sense_wordnet_links"), load(spark, d, "wn_synset", "synset_id", "definition"))
-    return out.groupBy("sense_id", "source").agg(N)
+    return out.groupBy("sense_id", "source").agg(_n())
 
 
 def lexicon_synonyms(spark: SparkSession, d: str) -> DataFrame:
@@ -204,7 +207,7 @@ def lpt_batches(spark: SparkSession, d: str) -> DataFrame:
 
 def fixed_chunks(spark: SparkSession, d: str) -> DataFrame:
     docs = load(spark, d, "documents", "doc_id").distinct()
-    return ba.chunks(docs, ["doc_id"], 50).groupBy("chunk").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), N)
+    return ba.chunks(docs, ["doc_id"], 50).groupBy("chunk").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), _n())
 
 
 def difficulty_mul_add(spark: SparkSession, d: str) -> DataFrame:
@@ -267,14 +270,14 @@ def sentiment_default(spark: SparkSession, d: str) -> DataFrame:
     """Scores of linked synsets, known for adjectives only, defaults for the others, counted."""
     ids = load(spark, d, "unified_sense_wordnet_links", "wordnet_id")
     scores = load(spark, d, "wn_synset", "synset_id", "pos").where("pos in ('a', 's')").select("synset_id", F.lit(0.25).alias("pos_score"), F.lit(0.125).alias("neg_score"), F.lit(0.625).alias("obj_score"))
-    return al.with_sentiment(ids, scores).groupBy("mapped").agg(N, F.sum("pos_score").alias("pos_score"), F.sum("neg_score").alias("neg_score"), F.sum("obj_score").alias("obj_score"))
+    return al.with_sentiment(ids, scores).groupBy("mapped").agg(_n(), F.sum("pos_score").alias("pos_score"), F.sum("neg_score").alias("neg_score"), F.sum("obj_score").alias("obj_score"))
 
 
 def alignment_candidates(spark: SparkSession, d: str) -> DataFrame:
     """Synsets that could be meant by each word and part of speech, counted."""
     groups = al.sense_groups(load(spark, d, "words", "id", "display_form").distinct(), load(spark, d, "entries", "id", "word_id", "pos").distinct(), load(spark, d, "senses", "id", "entry_id", "definition", "phrase_title").distinct())
     lexicon = load(spark, d, "wn_synset", "synset_id", "pos", "lemmas").select("synset_id", "pos", F.explode(F.split("lemmas", r"\|")).alias("lemma"))
-    return al.candidate_synsets(al.tasks(groups), lexicon).groupBy("word", "pos").agg(N)
+    return al.candidate_synsets(al.tasks(groups), lexicon).groupBy("word", "pos").agg(_n())
 
 
 def bypass_backfill(spark: SparkSession, d: str) -> DataFrame:
@@ -322,7 +325,7 @@ def relation_mapping(spark: SparkSession, d: str) -> DataFrame:
 
 def star_schema_fact(spark: SparkSession, d: str) -> DataFrame:
     star = co.star_schema(load(spark, d, "words"), load(spark, d, "entries"), load(spark, d, "senses"))
-    return star["fact_senses"].groupBy("date_key", "cefr_level").agg(N, F.sum(F.col("definition_length").cast("bigint")).alias("total_length"))
+    return star["fact_senses"].groupBy("date_key", "cefr_level").agg(_n(), F.sum(F.col("definition_length").cast("bigint")).alias("total_length"))
 
 
 def stream_velocity(spark: SparkSession, d: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossarium.functions.text import CEFR_ORDER, blank, source_category, ten_minutes
@@ -13,19 +13,22 @@ from glossarium.sources.tables import load
 TABLES = ("words", "entries", "entry_inflections", "senses", "sense_synonyms", "unified_senses", "unified_sense_wordnet_links", "wn_synset", "documents", "doc_labels", "subjects", "eval_items", "canonical_terms")
 # What the names of dictionaries have in common.
 SOURCES = {"%learner%": "Learner", "%american%": "American", "%business%": "Business", "%thesaurus%": "Thesaurus", "%legal%": "Specialist", "%medical%": "Specialist"}
-N = F.count(F.lit(1)).cast("bigint")
+
+
+def _n(name: str = "n") -> Column:
+    return F.count(F.lit(1)).alias(name)
 
 
 def status_distribution(spark: SparkSession, d: str) -> DataFrame:
-    return share_of_total(load(spark, d, "words", "status").groupBy("status").agg(N.alias("n")), "n")
+    return share_of_total(load(spark, d, "words", "status").groupBy("status").agg(_n()), "n")
 
 
 def progress_by_type(spark: SparkSession, d: str) -> DataFrame:
-    return load(spark, d, "words", "entry_type", "status").groupBy("entry_type").agg(N.alias("total"), F.count_if(F.col("status") == "done").alias("done"))
+    return load(spark, d, "words", "entry_type", "status").groupBy("entry_type").agg(_n("total"), F.count_if(F.col("status") == "done").alias("done"))
 
 
 def error_summary(spark: SparkSession, d: str) -> DataFrame:
-    return load(spark, d, "words", "error_msg").where(~blank("error_msg")).groupBy("error_msg").agg(N.alias("n"))
+    return load(spark, d, "words", "error_msg").where(~blank("error_msg")).groupBy("error_msg").agg(_n())
 
 
 def pending_words(spark: SparkSession, d: str) -> DataFrame:
@@ -33,7 +36,7 @@ def pending_words(spark: SparkSession, d: str) -> DataFrame:
 
 
 def velocity_10min(spark: SparkSession, d: str) -> DataFrame:
-    return load(spark, d, "words", "crawled_at").where("crawled_at is not null").groupBy(ten_minutes("crawled_at").alias("bucket")).agg(N.alias("n"))
+    return load(spark, d, "words", "crawled_at").where("crawled_at is not null").groupBy(ten_minutes("crawled_at").alias("bucket")).agg(_n())
 
 
 def table_row_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -41,43 +44,43 @@ def table_row_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def entry_type_distribution(spark: SparkSession, d: str) -> DataFrame:
-    return load(spark, d, "words", "entry_type").groupBy("entry_type").agg(N.alias("n"))
+    return load(spark, d, "words", "entry_type").groupBy("entry_type").agg(_n())
 
 
 def pos_top15(spark: SparkSession, d: str) -> DataFrame:
     kind = F.when(blank("pos"), "Unknown/Unclassified").otherwise(F.col("pos"))
-    return load(spark, d, "entries", "pos").groupBy(kind.alias("pos")).agg(N.alias("n")).orderBy(F.desc("n"), "pos").limit(15)
+    return load(spark, d, "entries", "pos").groupBy(kind.alias("pos")).agg(_n()).orderBy(F.desc("n"), "pos").limit(15)
 
 
 def ordered_level_distribution(spark: SparkSession, d: str) -> DataFrame:
     level = F.when(blank("cefr_level"), "Not Annotated").otherwise(F.upper(F.trim("cefr_level")))
-    counts = load(spark, d, "senses", "cefr_level").groupBy(level.alias("level")).agg(N.alias("n"))
+    counts = load(spark, d, "senses", "cefr_level").groupBy(level.alias("level")).agg(_n())
     return in_order(counts, "level", CEFR_ORDER).withColumn("place", F.col("place").cast("bigint"))
 
 
 def source_category_case(spark: SparkSession, d: str) -> DataFrame:
-    return load(spark, d, "entries", "dictionary_source").groupBy(source_category("dictionary_source", SOURCES).alias("category")).agg(N.alias("n"))
+    return load(spark, d, "entries", "dictionary_source").groupBy(source_category("dictionary_source", SOURCES).alias("category")).agg(_n())
 
 
 def grammar_top12(spark: SparkSession, d: str) -> DataFrame:
-    return load(spark, d, "senses", "grammar").where("grammar is not null and grammar <> ''").groupBy("grammar").agg(N.alias("n")).orderBy(F.desc("n"), "grammar").limit(12)
+    return load(spark, d, "senses", "grammar").where("grammar is not null and grammar <> ''").groupBy("grammar").agg(_n()).orderBy(F.desc("n"), "grammar").limit(12)
 
 
 def senses_per_entry_describe(spark: SparkSession, d: str) -> DataFrame:
-    return describe(load(spark, d, "senses", "entry_id").groupBy("entry_id").agg(N.alias("n_senses")), "n_senses")
+    return describe(load(spark, d, "senses", "entry_id").groupBy("entry_id").agg(_n("n_senses")), "n_senses")
 
 
 def synonyms_per_sense_describe(spark: SparkSession, d: str) -> DataFrame:
-    return describe(load(spark, d, "sense_synonyms", "sense_id").groupBy("sense_id").agg(N.alias("n_synonyms")), "n_synonyms")
+    return describe(load(spark, d, "sense_synonyms", "sense_id").groupBy("sense_id").agg(_n("n_synonyms")), "n_synonyms")
 
 
 def relation_polarity_counts(spark: SparkSession, d: str) -> DataFrame:
-    return load(spark, d, "sense_synonyms", "is_antonym").groupBy(F.when(F.col("is_antonym") == 1, "Antonym").otherwise("Synonym").alias("relation")).agg(N.alias("n"))
+    return load(spark, d, "sense_synonyms", "is_antonym").groupBy(F.when(F.col("is_antonym") == 1, "Antonym").otherwise("Synonym").alias("relation")).agg(_n())
 
 
 def top_topics(spark: SparkSession, d: str) -> DataFrame:
     labels = load(spark, d, "doc_labels", "doc_id", "subject").join(load(spark, d, "subjects"), "subject")
-    return labels.groupBy("subject", "title").agg(N.alias("n")).orderBy(F.desc("n"), "title").limit(20)
+    return labels.groupBy("subject", "title").agg(_n()).orderBy(F.desc("n"), "title").limit(20)
 
 
 _REFERENCES = (
@@ -98,7 +101,7 @@ def referential_audit(spark: SparkSession, d: str) -> DataFrame:
     """Orphans of every reference; keys are counted before they are compared, so hot keys are one row each."""
 
     def audit(child: str, column: str, parent: str, key: str) -> DataFrame:
-        refs = load(spark, d, child, column).where(F.col(column).isNotNull()).groupBy(F.col(column).alias("k")).agg(N.alias("n"))
+        refs = load(spark, d, child, column).where(F.col(column).isNotNull()).groupBy(F.col(column).alias("k")).agg(_n())
         lost = refs.join(load(spark, d, parent, key).select(F.col(key).alias("k")), "k", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphans"))
         return lost.select(F.lit(f"{child}.{column}").alias("reference"), "orphans", F.when(F.col("orphans") == 0, "PASS").otherwise("FAIL").alias("result"))
 
