@@ -60,18 +60,19 @@ def hidden_copies(rows: DataFrame, row_id: str, scope: Sequence[str], fields: Se
         .withColumns({"__f1": _sum_of_hashes("__pairs", 1), "__f2": _sum_of_hashes("__pairs", 2), "__n": F.size("__pairs")})
         .withColumn("__salt", salt_of("__id", salts=salts))
         .select("__id", *key, "__salt", "__pairs")
-        .repartition("__f1", "__f2", "__salt")
     )
-    partial = base.groupBy(*key, "__salt").agg(F.min("__id").alias("__low"), F.max("__id").alias("__high"))
-    groups = partial.groupBy(*key).agg(F.min("__low").alias("keep_id"), F.max("__high").alias("__high")).where("keep_id < __high").drop("__high")
-    spread = partial.select(*key, "__salt").join(groups, key)
-    members = base.join(spread, [*key, "__salt"])
-    kept = members.where("__id = keep_id").groupBy(*key).agg(F.first("__pairs").alias("__kept"))
-    kept = partial.select(*key, "__salt").join(kept, key)
+    partial = base.groupBy(*key, "__salt").agg(F.min("__id").alias("__low"), F.max("__id").alias("__high"), F.min_by("__pairs", "__id").alias("__first"))
+    groups = (
+        partial.groupBy(*key)
+        .agg(F.min("__low").alias("keep_id"), F.max("__high").alias("__top"), F.min_by("__first", "__low").alias("__kept"), F.collect_set("__salt").alias("__salts"))
+        .where("keep_id < __top")
+        .select(*key, "keep_id", "__kept", F.explode("__salts").alias("__salt"))
+    )
+    same = _same_pairs("__pairs", "__kept")
     found = cut(
-        members.where("__id <> keep_id")
-        .join(kept, [*key, "__salt"])
-        .select(*scope, "keep_id", F.col("__id").alias("copy_id"), _same_pairs("__pairs", "__kept").alias("__same"), F.when(~_same_pairs("__pairs", "__kept"), F.col("__pairs")).alias("__pairs"))
+        base.join(groups, [*key, "__salt"])
+        .where("__id <> keep_id")
+        .select(*scope, "keep_id", F.col("__id").alias("copy_id"), same.alias("__same"), F.when(~same, F.col("__pairs")).alias("__pairs"))
     )
     collided = found.where("not __same").select(*scope, F.col("copy_id").alias("__id"), F.array_sort("__pairs").alias("__exact"))
     lowest = collided.groupBy(*scope, "__exact").agg(F.min("__id").alias("keep_id"))
