@@ -28,6 +28,8 @@ from glossarium.session import cut
 SEGMENTS = 1 << 16
 #: Texts of at most so many words use cells of 3, of 2, beyond that of 1 unit; longer texts have rarer words.
 DEPTHS = ((36, 3), (100, 2))
+#: Sets whose least overlap is below the refined cells' five units have fewer than seven words, and partners of at most so many.
+SMALL_PARTNER = 10
 #: Cells with more texts are refined by two further units before pairs are formed.
 HOT = 64
 _EPS = 1e-9
@@ -121,10 +123,11 @@ def similar_classes(classes: DataFrame, threshold: float) -> DataFrame:
     later = F.slice("units", F.col("last") + 2, F.greatest(reach - F.col("last") - 1, F.lit(0)))
     refined = hot.where(needed >= F.col("depth") + 2).withColumn("later", later)
     finer = refined.select(F.explode(_cells("later", 2, F.size("later"))).alias("c"), "cell", "class_id", "sketch", "n").select(F.xxhash64("cell", "c.cell").alias("cell"), "class_id", "sketch", "n")
-    # A small set in a refined cell may have partners of any size: it meets them in the unrefined cell.
-    small = hot.where(needed < F.col("depth") + 2).select("cell").distinct()
-    meets_small = hot.where(F.floor(F.col("n") * threshold + _EPS) <= 7).join(small, "cell", "left_semi").select("cell", "class_id", "sketch", "n")
-    pairs = _pairs(calm, threshold).unionByName(_pairs(finer, threshold)).unionByName(_pairs(meets_small, threshold, smallest=7)).distinct()
+    # A small set in a refined cell may have partners of any size up to ten words: it meets them in the unrefined cell.
+    named = ["cell", "class_id", "sketch", "n"]
+    small = hot.where(needed < F.col("depth") + 2).select(*named)
+    partners = hot.where(F.col("n") <= SMALL_PARTNER).select(*named)
+    pairs = _pairs(calm, calm, threshold).unionByName(_pairs(finer, finer, threshold)).unionByName(_pairs(small, partners, threshold)).distinct()
     left = sized.select(F.col("class_id").alias("class_a"), F.col("words").alias("words_a"), F.col("units").alias("units_a"))
     right = sized.select(F.col("class_id").alias("class_b"), F.col("words").alias("words_b"), F.col("units").alias("units_b"))
     total = F.size("words_a") + F.size("words_b")
@@ -146,15 +149,14 @@ def _sketch(words: str) -> Column:
     )
 
 
-def _pairs(cells: DataFrame, threshold: float, smallest: int | None = None) -> DataFrame:
+def _pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
     """Pairs of a cell that sizes and sketches allow; what they rule out is never written."""
-    a, b = cells.alias("a"), cells.alias("b")
-    fits = (F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * threshold - _EPS) & (F.col("a.class_id") < F.col("b.class_id"))
+    a, b = left.alias("a"), right.alias("b")
     total = F.col("a.n") + F.col("b.n")
+    fits = F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * threshold - _EPS
+    fits &= (F.col("a.class_id") < F.col("b.class_id")) if left is right else (F.col("a.class_id") != F.col("b.class_id"))
     fits &= F.bit_count(F.col("a.sketch").bitwiseXOR(F.col("b.sketch"))) <= total - 2 * F.ceil(total * (threshold / (1 + threshold)) - _EPS)
-    if smallest:
-        fits &= F.least("a.n", "b.n") < smallest
-    return a.join(b, (F.col("a.cell") == F.col("b.cell")) & fits).select(F.col("a.class_id").alias("class_a"), F.col("b.class_id").alias("class_b"))
+    return a.join(b, (F.col("a.cell") == F.col("b.cell")) & fits).select(F.least("a.class_id", "b.class_id").alias("class_a"), F.greatest("a.class_id", "b.class_id").alias("class_b"))
 
 
 def same_title(a: str, b: str) -> bool:
