@@ -357,6 +357,7 @@ def title_classify(spark: SparkSession, d: str) -> DataFrame:
 _LETTER = "CASE WHEN {0} LIKE '%pronoun%' THEN NULL WHEN {0} LIKE '%noun%' THEN 'n' WHEN {0} LIKE '%adv%' THEN 'r' WHEN {0} LIKE '%verb%' THEN 'v' WHEN {0} LIKE '%adj%' THEN 'a' END"
 _CLASS = "CASE WHEN {0} IN ('s', 'a') THEN 'adjective' WHEN {0} LIKE '%pronoun%' THEN 'other' WHEN {0} LIKE '%noun%' THEN 'noun' WHEN {0} LIKE '%adv%' THEN 'adverb' WHEN {0} LIKE '%verb%' THEN 'verb' WHEN {0} LIKE '%adj%' THEN 'adjective' ELSE 'other' END"
 _KEY = r"regexp_replace(regexp_replace(lower({0}), '^\s+', ''), '\s+$', '')"
+_SLUG = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(" + _KEY + r", '[^\p{{L}}\p{{N}}_\s\x{{A0}}\-]', '', 'g'), '[\s\x{{A0}}_]+', '-', 'g'), '-+', '-', 'g'), '^-|-$', '', 'g')"
 _P = "coalesce(" + _KEY.format("pos") + ", '')"
 _METRICS = """
 WITH e AS (SELECT vec_id % 7 AS task, CAST(vec_id AS VARCHAR) AS item, label FROM embeddings),
@@ -400,6 +401,12 @@ SELECT small, large, round(len(ta)::DOUBLE / len(tb), 6) AS jaccard FROM c WHERE
     "first_nonempty_per_group": f"""WITH r AS (SELECT DISTINCT id, word_id, {_CLASS.format(_P)} AS pos, pronunciation_uk, audio_uk_url FROM entries)
 SELECT word_id, pos, arg_min(pronunciation_uk, id) FILTER (coalesce(pronunciation_uk, '') <> '') AS pronunciation_uk, arg_min(audio_uk_url, id) FILTER (coalesce(audio_uk_url, '') <> '') AS audio_uk_url FROM r GROUP BY word_id, pos""",
     "surrogate_ids": "SELECT id, word, row_number() OVER (ORDER BY id, word) AS new_id FROM (SELECT DISTINCT id, word FROM words)",
+    "slug_collisions": f"""WITH r AS (SELECT id, {_SLUG.format('min(display_form)')} AS slug FROM words WHERE display_form IS NOT NULL GROUP BY id), k AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY id) AS n FROM r)
+SELECT id, slug, CASE WHEN n = 1 THEN slug ELSE slug || '-' || (n - 1) END AS unique_slug FROM k""",
+    "title_classify": r"""WITH r AS (SELECT DISTINCT id, word, display_form || ' ' || CASE WHEN entry_type = 'word' THEN 'definition' ELSE replace(entry_type, '_', ' ') END || ' | Dictionary' AS t FROM words WHERE display_form IS NOT NULL),
+d AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(t, '(?is)\s*\b(phrasal verb|idiom|phrase|definition)\b.*$', ''), '^\s+', ''), '\s+$', '') AS cut FROM r)
+SELECT id, CASE WHEN regexp_matches(lower(t), '\bphrasal verb\b') THEN 'phrasal_verb' WHEN regexp_matches(lower(t), '\bidiom\b') THEN 'idiom' WHEN regexp_matches(lower(t), '\bphrase\b') THEN 'phrase'
+ WHEN word NOT LIKE '%-%' AND regexp_full_match(replace(word, '''', ''), '\p{L}+') THEN 'word' ELSE 'expression' END AS title_type, CASE WHEN cut <> '' THEN cut ELSE replace(word, '-', ' ') END AS display FROM d""",
     "upsert_last_wins": _UPSERT.format("arg_max"),
     "upsert_first_wins": _UPSERT.format("arg_min"),
     "latest_senses": """SELECT id, entry_id, definition, strftime(loaded_at, '%Y-%m-%d %H:%M:%S') AS loaded FROM senses
