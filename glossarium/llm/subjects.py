@@ -29,6 +29,8 @@ ANCHOR_DOCUMENTS, ANCHOR_RATIO, ANCHOR_GAP = 1.5, 2.5, 0.01
 ROUNDS, INNER = 3, 3
 #: Mass that a sentence's terms have to give to a subject, and the share of sentences from which a document has it.
 SENTENCE_MASS, DOCUMENT_SHARE, MOST_SUBJECTS = 0.8, 0.15, 3
+#: A single sentence is a passing mention unless it is so large a share of the document; the largest subject always stands.
+SINGLE_SHARE = 0.3
 _CHUNK = 400_000
 
 
@@ -193,10 +195,10 @@ def document_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFra
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            share, _ = factors.mixtures(batch)
+            share, sentences = factors.mixtures(batch)
             top = np.argsort(-share, axis=1, kind="stable")[:, :MOST_SUBJECTS]
             value = np.take_along_axis(share, top, axis=1)
-            keep = value >= DOCUMENT_SHARE
+            keep = (value >= DOCUMENT_SHARE) & ((value >= SINGLE_SHARE) | (value * sentences[:, None] > 1.5))
             keep[:, 0] |= value[:, 0] > 0
             rows, place = np.nonzero(keep)
             yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[rows], "subject": [names[s] for s in top[rows, place]], "share": value[rows, place]})
