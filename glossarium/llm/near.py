@@ -58,8 +58,8 @@ def _units(classes: DataFrame) -> DataFrame:
     segs = classes.withColumn("segs", F.transform("words", lambda w: F.pmod(F.xxhash64(w), F.lit(SEGMENTS)).cast("int")))
     loads = np.zeros(SEGMENTS, dtype=np.int64)
     counted = segs.select(F.explode(F.array_distinct("segs")).alias("seg")).groupBy("seg").count()
-    for seg, n in counted.collect():  # at most SEGMENTS rows
-        loads[seg] = n
+    found = counted.toArrow()  # at most SEGMENTS rows
+    loads[found["seg"].to_numpy()] = found["count"].to_numpy()
     rank = np.empty(SEGMENTS, dtype=np.int32)
     rank[np.lexsort((np.arange(SEGMENTS), loads))] = np.arange(SEGMENTS, dtype=np.int32)
 

@@ -126,8 +126,8 @@ def _seed(terms: DataFrame, labels: DataFrame, names: list[str]) -> np.ndarray |
     documents = labelled.groupBy("language", "subject").agg(F.sum("weight").alias("n")).collect()
     if not documents:
         return None
-    held = labelled.select("language", "subject", "weight", F.explode(F.array_distinct("terms")).alias("term")).groupBy("language", "subject", "term").agg(F.sum("weight").alias("n")).toPandas()
-    common = words.select("language", F.explode("terms").alias("term")).groupBy("language", "term").agg(F.count(F.lit(1)).alias("n")).toPandas()
+    held = labelled.select("language", "subject", "weight", F.explode(F.array_distinct("terms")).alias("term")).groupBy("language", "subject", "term").agg(F.sum("weight").alias("n")).toArrow().to_pandas()
+    common = words.select("language", F.explode("terms").alias("term")).groupBy("language", "term").agg(F.count(F.lit(1)).alias("n")).toArrow().to_pandas()
     k, j = len(names), len(languages)
     at = {s: i for i, s in enumerate(names)}
     n_docs = np.zeros((j, k))
@@ -169,7 +169,7 @@ def _update(terms: DataFrame, factors: Factors) -> np.ndarray:
         rows = np.flatnonzero(sums.sum(axis=1) > 0)
         yield pd.DataFrame(sums[rows], columns=names).assign(term=rows)[["term", *names]]
 
-    added = terms.select("terms").mapInPandas(partial, "term bigint, " + ", ".join(f"{c} double" for c in names)).groupBy("term").agg(*[F.sum(c).alias(c) for c in names]).toPandas()
+    added = terms.select("terms").mapInPandas(partial, "term bigint, " + ", ".join(f"{c} double" for c in names)).groupBy("term").agg(*[F.sum(c).alias(c) for c in names]).toArrow().to_pandas()
     out = np.zeros((TERMS, n))
     out[added["term"].to_numpy()] = added[names].to_numpy()  # at most TERMS rows
     return out / np.maximum(out.sum(axis=0), 1e-20)
