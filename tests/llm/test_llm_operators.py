@@ -155,6 +155,18 @@ def test_matched_learns_words_and_skips_ties(spark):
     assert empty.count() == 0
 
 
+def test_matched_finds_a_group_of_copies(spark):
+    rnd = random.Random(9)
+    words = [f"word{i}" for i in range(120)]
+    texts = [[retrieval.term_of(w) for w in ["the", *rnd.sample(words, 8)]] for _ in range(400)]
+    index = [(i, t, f"name{i}", "n") for i, t in enumerate(texts)] + [(1000 + i, texts[0], "name0", "n") for i in range(200)]
+    queries = [(f"q{i}", [*t[:8], retrieval.term_of("of")], [f"name{i}"], "n") for i, t in enumerate(texts)]
+    tied = [(i, f"q{i}") for i in range(0, 400, 2)]
+    got = retrieval.matched(spark.createDataFrame(index, "id bigint, terms array<int>, name string, kind string"), spark.createDataFrame(queries, "id string, terms array<int>, names array<string>, kind string"), spark.createDataFrame(tied, "index_id bigint, query_id string"))
+    found = [(r["index_id"], r["query_id"]) for r in got.collect()]
+    assert sorted(found) == sorted([(1000 + i, "q0") for i in range(200)] + [(i, f"q{i}") for i in range(1, 400, 2)])
+
+
 def test_words_of_entities():
     assert retrieval.words_of("A level-topped ｂｉｒｄ, grаin; grain") == ["a", "level-topped", "bird", "grain"]
     assert sorted(retrieval._murmur3(k) % 7 for k in retrieval.even_keys(7)) == list(range(7))
