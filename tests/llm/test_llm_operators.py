@@ -286,7 +286,7 @@ def test_subjects_recover_planted_mixtures(spark):
     docs += [(900, None, "en"), (901, "", "en"), (902, "zzz qqq xxx", None)]
     labels = [(i, s) for i in range(60) for s in truth[i]] + [(0, "unknown"), (None, "law"), (1, sorted(truth[1])[0])]
     frame = spark.createDataFrame(docs, "doc_id bigint, text string, lang string").withColumn("subject", F.lit("clash"))
-    got = subjects.document_subjects(frame, spark.createDataFrame(labels, "doc_id bigint, subject string"), spark.createDataFrame([(s, s) for s in names], "subject string, title string"), rounds=2).collect()
+    got = subjects.document_subjects(frame, spark.createDataFrame(labels, "doc_id bigint, subject string"), spark.createDataFrame([(s, s) for s in names], "subject string, title string")).collect()
     found = {}
     for r in got:
         found.setdefault(r["doc_id"], set()).add(r["subject"])
