@@ -123,7 +123,7 @@ def _records(rnd, n, vocabulary, k):
     return [(i, [int(t) for t in rnd.sample(vocabulary, min(k, len(vocabulary)))]) for i in range(n)]
 
 
-@pytest.mark.parametrize("bucket_rows, share", [(600_000, 0.6), (20, 0.6), (7, 0.3)])
+@pytest.mark.parametrize("bucket_rows, share", [(300_000, 0.6), (20, 0.6), (7, 0.3)])
 def test_retrieval_is_exact(spark, bucket_rows, share):
     rnd = random.Random(11)
     vocabulary, names = list(range(1, 40)), [retrieval.NAMES + i for i in range(25)]
