@@ -136,17 +136,24 @@ def align(spark: SparkSession, args: argparse.Namespace) -> None:
     batches = cut(ba.balanced_batches(weighed, "task_id", "cost", args.batch_size))
     ba.batch_report(batches).show(truncate=False)
     prompts = weighed.join(batches.select(F.col("id").alias("task_id"), "batch"), "task_id").groupBy("batch").agg(F.array_join(F.array_sort(F.collect_list("prompt")), "\n\n").alias("prompt"))
-    cache = spark.createDataFrame([], "key string, content string")
+    cache = cut(_read(spark, args.db, "response_cache"))
     answers = cut(al.answers(prompts, cache, _load(args.model), SYSTEM, args.reasoning_effort))
-    unified = cut(al.backfill(groups, al.resolved(al.parsed_answers(answers), rendered)))
+    _write(answers.where("content is not null").unionByName(cache.select("key", "content")).dropDuplicates(["key"]), args.db, "response_cache")
+    parsed = cut(al.parsed_answers(answers))
+    # Tasks that the model was asked and whose answer failed stay pending and are asked again by the next run.
+    failed = weighed.join(parsed.select("task_id").distinct(), "task_id", "left_anti").select("word", "pos").distinct()
+    done = cut(todo.join(failed, ["word", "pos"], "left_anti"))
+    unified = cut(al.backfill(groups.join(done, ["word", "pos"], "left_semi"), al.resolved(parsed, rendered)))
     numbered = cut(re.surrogate_ids(unified.withColumn("cambridge_sense_id", F.get("sense_ids", 0)), ["word", "pos", "definition", "cambridge_sense_id"]))
     old = _read(spark, args.db, "unified_senses")
     top = old.agg(F.max("id")).first()[0] or 0
     new = numbered.withColumn("id", F.col("id") + top)
+    replaced = cut(old.join(new.select("word", "pos").distinct(), ["word", "pos"], "left_semi").select(F.col("id").alias("unified_sense_id")).distinct())
     _write(re.upsert(old, new.select(*sc.schema("unified_senses").names), ["word", "pos"]), args.db, "unified_senses")
     links = new.select(F.col("id").alias("unified_sense_id"), F.explode("synset_ids").alias("wordnet_id")).distinct()
-    _write(_read(spark, args.db, "unified_sense_wordnet_links").unionByName(links), args.db, "unified_sense_wordnet_links")
-    _write(re.upsert(_read(spark, args.db, "word_pos_alignment_status"), todo.withColumn("status", F.lit("aligned")), ["word", "pos"]), args.db, "word_pos_alignment_status")
+    kept = _read(spark, args.db, "unified_sense_wordnet_links").join(replaced, "unified_sense_id", "left_anti")
+    _write(kept.unionByName(links, allowMissingColumns=True), args.db, "unified_sense_wordnet_links")
+    _write(re.upsert(_read(spark, args.db, "word_pos_alignment_status"), done.withColumn("status", F.lit("aligned")), ["word", "pos"]), args.db, "word_pos_alignment_status")
     if args.output:
         al.export(new).write.mode("overwrite").json(args.output)
 

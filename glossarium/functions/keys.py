@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable, Sequence
+from itertools import product
 
 import pandas as pd
 from pyspark.sql import Column
@@ -15,64 +17,48 @@ _STANDS_FOR = "someone something somebody somewhere sth sb oneself yourself hims
 _OWNERS = ["someone's", "somebody's", "one's", "your", "their", "his", "her", "my", "our"]
 
 _PLACE = "|".join(_STANDS_FOR)
-_EITHER = re.compile(rf"\b(?:{_PLACE})/+(?:{_PLACE})\b")
-_ANY = re.compile(rf"\b(?:{_PLACE}|doing)\b")
-_OWNER = re.compile(r"\b(?:" + "|".join(_OWNERS) + r")\b")
+_DROPPED = re.compile(rf"\b(?:{_PLACE})/+(?:{_PLACE})\b"), re.compile(rf"\b(?:{_PLACE}|doing)\b"), re.compile(r"\b(?:" + "|".join(_OWNERS) + r")\b")
 _OPTION = re.compile(r"\(([^)]+)\)")
-_SLASHED = re.compile(r"\b(\w+)/(\w+)\b")
-#: A phrase may have at most so many optional parts that are expanded; further ones are kept.
-MOST_OPTIONS = 8
+_CHOICE = re.compile(r"\b(\w+(?:/\w+)+)\b")
+
+
+def _spelt(pieces: list[str], choices: Callable[[str], Sequence[str]], glue: str) -> set[str]:
+    """Every text that picks one of its choices for each odd piece."""
+    return {glue.join(picked) for picked in product(*[choices(p) if i % 2 else (p,) for i, p in enumerate(pieces)])}
 
 
 def alternatives(text: str) -> set[str]:
-    """The readings of a phrase with slashes: whole parts where they are alike, otherwise word by word."""
-    parts = [p.strip() for p in text.split("/")]
-    if len(parts) == 1 or min(map(len, parts)) <= 1 or any(ch.isdigit() for ch in text):
+    """The readings of a phrase with slashes.
+
+    Slashes stand between whole phrases if these are all of one word or all of several, otherwise between the words
+    beside them. With digits or single letters ("24/7", "a/c") a slash belongs to the word.
+    """
+    sides = [side.strip() for side in text.split("/")]
+    if re.search(r"\d", text) or any(len(side) < 2 for side in sides):
         return {text}
-    spaced = {" " in p for p in parts}
-    pair = _SLASHED.search(text) if len(spaced) == 2 else None
-    if pair is None:
-        return set(parts)
-    before, after = text[: pair.start()], text[pair.end() :]
-    return {reading for word in pair.groups() for reading in alternatives(before + word + after)}
-
-
-def _optional(text: str) -> set[str]:
-    """Every choice of keeping or dropping the parts in parentheses."""
-    done, open_ = set(), {text}
-    for _ in range(MOST_OPTIONS):
-        nxt = set()
-        for t in open_:
-            m = _OPTION.search(t)
-            if m is None:
-                done.add(t)
-            else:
-                nxt |= {f"{t[: m.start()]} {inner} {t[m.end() :]}" for inner in (m.group(1), "")}
-        open_ = nxt
-    return done | {_OPTION.sub(r" \1 ", t) for t in open_}
+    pieces = _CHOICE.split(text)
+    if len(pieces) > 1 and 0 < sum(" " in side for side in sides) < len(sides):
+        return _spelt(pieces, lambda words: words.split("/"), "")
+    return set(sides)
 
 
 def match_keys(text: str | None) -> list[str]:
     """Sorted keys of a phrase: letters a-z and digits only, with and without optional parts, each alternative by
-    itself, with blanks and (where there is no digit) without."""
-    if not text:
-        return []
-    t = re.sub("[_:-]", " ", text.lower().strip().replace("’", "'"))
-    t = re.sub(r"^(?:the|an?)\s+", "", t)
-    t = "".join(c for c in unicodedata.normalize("NFD", t) if unicodedata.category(c) != "Mn").replace(".", "")
-    if re.fullmatch(r"[a-z],\s*[a-z]", t):
-        t = t[0]
-    for stand_in in (_EITHER, _ANY, _OWNER):
-        t = stand_in.sub(" ", t)
-    keys = set()
-    for reading in {a for o in _optional(t) for a in alternatives(o)}:
-        key = " ".join(re.sub(r"[^a-z0-9\s]", "", reading).split())
-        if key and key not in STOP_KEYS:
-            keys.add(key)
-            joined = key.replace(" ", "")
-            if not re.search(r"\d", key) and joined not in STOP_KEYS:
-                keys.add(joined)
-    return sorted(keys)
+    itself, with blanks and (where there is no digit) without. Every optional part counts, so a phrase of n of them has
+    up to 2^n keys."""
+    plain = unicodedata.normalize("NFD", (text or "").strip().lower().replace("’", "'"))
+    plain = re.sub(r"[.\u0300-\u036f]", "", re.sub(r"^(?:the|an?)\s+", "", re.sub(r"[_:-]", " ", plain)))
+    letter = re.fullmatch(r"([a-z]),\s*[a-z]", plain)
+    plain = letter.group(1) if letter else plain
+    for words in _DROPPED:
+        plain = words.sub(" ", plain)
+    found = set()
+    for whole in _spelt(_OPTION.split(plain), lambda inner: (inner, ""), " "):
+        for reading in alternatives(whole):
+            words = re.sub(r"[^a-z0-9\s]", "", reading).split()
+            forms = [" ".join(words)] if " ".join(words) not in STOP_KEYS else []
+            found.update(forms + ["".join(words)] * (bool(forms) and not re.search(r"\d", forms[0])))
+    return sorted(found - STOP_KEYS - {""})
 
 
 def match_keys_column(text: str | Column) -> Column:

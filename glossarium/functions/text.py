@@ -96,14 +96,17 @@ def pos_enum(pos: str | Column, compat: bool = False) -> Column:
     p = F.coalesce(key_form(pos), F.lit(""))
     if compat:
         found = _first_of(p, [(("noun",), "noun"), (("verb",), "verb"), (("adjective", "adj"), "adjective"), (("adverb", "adv"), "adverb")])
-        return F.coalesce(F.when(p == "s", F.lit("adjective")), found, F.lit("other"))
+        return F.coalesce(_letter_class(p), found, F.lit("other"))
     found = _first_of(p, [(("pronoun",), "other"), (("noun",), "noun"), (("adverb", "adv"), "adverb"), (("verb",), "verb"), (("adjective", "adj"), "adjective")])
-    return F.coalesce(F.when(p.isin("s", "a"), F.lit("adjective")), found, F.lit("other"))
+    return F.coalesce(_letter_class(p), found, F.lit("other"))
+
+
+def _letter_class(p: Column) -> Column:
+    return F.when(p == "n", "noun").when(p == "v", "verb").when(p.isin("a", "s"), "adjective").when(p == "r", "adverb")
 
 
 def pos_letter_enum(letter: str | Column) -> Column:
-    p = key_form(letter)
-    return F.when(p == "n", "noun").when(p == "v", "verb").when(p.isin("a", "s"), "adjective").when(p == "r", "adverb").otherwise("other")
+    return F.coalesce(_letter_class(key_form(letter)), F.lit("other"))
 
 
 def any_pos_enum(pos: str | Column, compat: bool = False) -> Column:

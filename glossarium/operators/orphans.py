@@ -69,20 +69,21 @@ def _step(tables: Mapping[str, Keyed], key: ForeignKey, parents: DataFrame) -> D
     child = tables[key.child]
     rows = child.frame.select(child.row_key.alias("row_key"), F.col(key.column).cast("string").alias("ref")).where("ref is not null")
     hit = salted_lookup(rows, parents.select(F.col("row_key").alias("ref")).distinct(), ["ref"], ["row_key"], "left_semi")
-    return hit.select(F.lit(key.child).alias("source_table"), F.col("row_key"), F.lit(key.name).alias("reference"), F.lit(INHERITED).alias("kind")).distinct()
+    return hit.select(F.lit(key.child).alias("source_table"), F.col("row_key"), F.lit(key.name).alias("reference"), F.lit(INHERITED).alias("kind"), F.lit(None).cast("string").alias("missing_key")).distinct()
 
 
-def orphan_cascade(tables: Mapping[str, Keyed], keys: Sequence[ForeignKey], max_rounds: int = 100) -> DataFrame:
-    """(source_table, row_key, reference, kind): every orphan reference, direct or inherited.
+def orphan_cascade(tables: Mapping[str, Keyed], keys: Sequence[ForeignKey]) -> DataFrame:
+    """(source_table, row_key, reference, kind, missing_key): every orphan reference, direct or inherited.
 
     A row whose own reference is missing is a direct orphan; a row that refers to an orphan of either kind is
     an inherited one. Semi-joins run down the foreign-key graph: in the order of the graph where it has no
     circle, which is one lazy plan, otherwise round by round, each round only from the rows found last, until
-    a round finds nothing new. A row may be listed once per reference. The parent's row_key must be the text
-    of the key that its children name.
+    a round finds nothing new, which ends as no reference is found twice. A row may be listed once per reference.
+    The parent's row_key must be the text of the key that its children name. missing_key is the text of the key that
+    has no row, null for inherited orphans.
     """
     direct = {
-        k.name: missing_references(tables, k).select(F.lit(k.child).alias("source_table"), F.col("row_key"), F.lit(k.name).alias("reference"), F.lit(DIRECT).alias("kind"))
+        k.name: missing_references(tables, k).select(F.lit(k.child).alias("source_table"), F.col("row_key"), F.lit(k.name).alias("reference"), F.lit(DIRECT).alias("kind"), F.col("missing_key").cast("string").alias("missing_key"))
         for k in keys
     }
     order = _order(keys)
@@ -95,13 +96,12 @@ def orphan_cascade(tables: Mapping[str, Keyed], keys: Sequence[ForeignKey], max_
                     found[name].append(_step(tables, k, union_all(found[k.parent])))
         return union_all([f for frames in found.values() for f in frames])
     known = frontier = cut(union_all(list(direct.values())))
-    for _ in range(max_rounds):
+    while True:
         steps = [_step(tables, k, frontier.where(F.col("source_table") == k.parent)) for k in keys]
         frontier = cut(union_all(steps).distinct().join(known, ["source_table", "row_key", "reference"], "left_anti"))
         if frontier.isEmpty():
             return known
         known = known.unionByName(frontier)
-    raise RuntimeError(f"the cascade still grows after {max_rounds} rounds")
 
 
 def orphan_report(tables: Mapping[str, Keyed], keys: Sequence[ForeignKey]) -> DataFrame:

@@ -355,7 +355,7 @@ def title_classify(spark: SparkSession, d: str) -> DataFrame:
 
 
 _LETTER = "CASE WHEN {0} LIKE '%pronoun%' THEN NULL WHEN {0} LIKE '%noun%' THEN 'n' WHEN {0} LIKE '%adv%' THEN 'r' WHEN {0} LIKE '%verb%' THEN 'v' WHEN {0} LIKE '%adj%' THEN 'a' END"
-_CLASS = "CASE WHEN {0} IN ('s', 'a') THEN 'adjective' WHEN {0} LIKE '%pronoun%' THEN 'other' WHEN {0} LIKE '%noun%' THEN 'noun' WHEN {0} LIKE '%adv%' THEN 'adverb' WHEN {0} LIKE '%verb%' THEN 'verb' WHEN {0} LIKE '%adj%' THEN 'adjective' ELSE 'other' END"
+_CLASS = "CASE {0} WHEN 'n' THEN 'noun' WHEN 'v' THEN 'verb' WHEN 'r' THEN 'adverb' WHEN 'a' THEN 'adjective' WHEN 's' THEN 'adjective' ELSE CASE WHEN {0} LIKE '%pronoun%' THEN 'other' WHEN {0} LIKE '%noun%' THEN 'noun' WHEN {0} LIKE '%adv%' THEN 'adverb' WHEN {0} LIKE '%verb%' THEN 'verb' WHEN {0} LIKE '%adj%' THEN 'adjective' ELSE 'other' END END"
 _KEY = r"regexp_replace(regexp_replace(lower({0}), '^\s+', ''), '\s+$', '')"
 _SLUG = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(" + _KEY + r", '[^\p{{L}}\p{{N}}_\s\x{{A0}}\-]', '', 'g'), '[\s\x{{A0}}_]+', '-', 'g'), '-+', '-', 'g'), '^-|-$', '', 'g')"
 _P = "coalesce(" + _KEY.format("pos") + ", '')"

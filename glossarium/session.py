@@ -31,11 +31,14 @@ def build_session(app: str = "glossarium", master: str | None = None, **conf: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; only where that is unset (tests) a folder of our own."""
+    """The shared folder named by spark.checkpoint.dir; a folder of our own only where that is unset and all tasks run
+    on this machine (tests), as another machine could not read it."""
     context = spark.sparkContext
     configured = context.getConf().get("spark.checkpoint.dir")
     if context._jsc.sc().getCheckpointDir().isDefined():
         return context._jsc.sc().getCheckpointDir().get()
+    if not configured and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="glossarium-checkpoint-"))
     return context._jsc.sc().getCheckpointDir().get()
 

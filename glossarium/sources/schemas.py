@@ -27,6 +27,7 @@ DDL = {
     "temp_redirects": "word_id bigint, pos string, definition string",
     "unified_senses": "id bigint, word string, pos string, definition string, cambridge_sense_id bigint",
     "unified_sense_wordnet_links": "unified_sense_id bigint, wordnet_id string",
+    "response_cache": "key string, content string",
     "word_pos_alignment_status": "word string, pos string, status string",
     "conceptnet_sense_mappings": "conceptnet_uri string, wordnet_id string",
     "conceptnet_relations": "start_concept string, relation string, end_concept string, weight double",

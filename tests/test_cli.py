@@ -8,6 +8,10 @@ def model(system, prompt):
     return json.dumps({"results": [{"task_id": "seed_noun", "unified_senses": [{"definition": "seed of a plant", "cambridge_senses": [1], "wordnet_synsets": [1]}]}]})
 
 
+def broken(system, prompt):
+    raise ValueError("no answer")
+
+
 def test_whole_pipeline(spark, tmp_path):
     db, run = str(tmp_path / "db"), lambda *a: cli.main([str(x) for x in a], spark)
     spark.createDataFrame([("u1", CRAWL)], "url string, html string").write.parquet(str(tmp_path / "lists"))
@@ -26,9 +30,12 @@ def test_whole_pipeline(spark, tmp_path):
     spark.createDataFrame([("oewn-00000001-n", 0, "A seed.")], "synset_id string, ord int, example string").write.parquet(f"{lexicon}/wn_example")
     spark.createDataFrame([("oewn-00000001-n", "hypernym", "oewn-00000001-n")], "src string, rel string, tgt string").write.parquet(f"{lexicon}/wn_synset_rel")
     spark.createDataFrame([], "src_lemma string, src_synset string, rel string, tgt_lemma string, tgt_synset string").write.parquet(f"{lexicon}/wn_sense_rel")
+    run("align", "--db", db, "--model", f"{__name__}:broken", "--lexicon", lexicon, "--difficulty-method", "mul")
+    assert "aligned" not in {r["status"] for r in spark.read.parquet(f"{db}/word_pos_alignment_status").where("word = 'seed'").collect()}
     for _ in range(2):
         run("align", "--db", db, "--model", f"{__name__}:model", "--lexicon", lexicon, "--difficulty-method", "mul", "--output", tmp_path / "export")
     assert [(r["word"], r["definition"], r["cambridge_sense_id"]) for r in spark.read.parquet(f"{db}/unified_senses").collect()] == [("seed", "seed of a plant", 1)]
+    assert spark.read.parquet(f"{db}/response_cache").count() == 1
     (tmp_path / "edges.tsv").write_text("u\t/r/UsedFor\t/c/en/a\t/c/en/b\t{}\n")
     run("import-concepts", "--db", db, "--edges", tmp_path / "edges.tsv")
     spark.createDataFrame([("oewn-00000001-n", 0.5, 0.0, 0.5)], "synset_id string, pos_score double, neg_score double, obj_score double").write.parquet(str(tmp_path / "scores"))

@@ -54,7 +54,7 @@ def test_phrase_parts():
 
 @pytest.mark.parametrize(
     ("pos", "letter", "kind", "compat", "short"),
-    [("noun", "n", "noun", "noun", "n"), ("phrasal verb", "v", "verb", "verb", "v"), ("adverb", "r", "adverb", "verb", "r"), ("adv", "r", "adverb", "adverb", "r"), ("pronoun", None, "other", "noun", "pronoun"), ("adjective", "a", "adjective", "adjective", "a"), ("s", None, "adjective", "adjective", "s"), ("idiom", None, "other", "other", "idiom"), ("", None, "other", "other", "")],
+    [("noun", "n", "noun", "noun", "n"), ("phrasal verb", "v", "verb", "verb", "v"), ("adverb", "r", "adverb", "verb", "r"), ("adv", "r", "adverb", "adverb", "r"), ("pronoun", None, "other", "noun", "pronoun"), ("adjective", "a", "adjective", "adjective", "a"), ("s", None, "adjective", "adjective", "s"), ("n", None, "noun", "noun", "n"), ("v", None, "verb", "verb", "v"), ("r", None, "adverb", "adverb", "r"), ("a", None, "adjective", "adjective", "a"), ("idiom", None, "other", "other", "idiom"), ("", None, "other", "other", "")],
 )
 def test_pos(spark, pos, letter, kind, compat, short):
     row = spark.createDataFrame([(pos,)], "p string").select(tx.map_pos("p"), tx.pos_enum("p"), tx.pos_enum("p", compat=True), tx.normalize_pos("p"), tx.map_pos("p", compat=True)).first()

@@ -93,7 +93,7 @@ def test_orphans(spark):
     tables = {"a": Keyed(a, F.col("id").cast("string"))}
     key = ForeignKey("a", "ref", "a")
     assert rows(missing_references(tables, key)) == [("2", 9)]
-    assert rows(orphan_cascade(tables, [key])) == [("a", "2", "a.ref", "direct"), ("a", "4", "a.ref", "inherited")]
+    assert rows(orphan_cascade(tables, [key])) == [("a", "2", "a.ref", "direct", "9"), ("a", "4", "a.ref", "inherited", None)]
     top = {"p": Keyed(spark.createDataFrame([(1, None)], "id bigint, up bigint"), F.col("id").cast("string")), "c": Keyed(spark.createDataFrame([(7, 1, "2025-01-02"), (8, 5, None)], "id bigint, p bigint, at string").withColumn("at", F.to_timestamp("at")), F.col("id").cast("string"), "at")}
     assert rows(orphan_report(top, [ForeignKey("c", "p", "p")])) == [("c", "c.p", None, "direct", 1)]
     empty = {"p": Keyed(spark.createDataFrame([], "id bigint"), F.col("id").cast("string")), "c": top["c"]}
@@ -101,6 +101,20 @@ def test_orphans(spark):
     assert missing_references({"p": top["p"], "c": Keyed(top["c"].frame.limit(0), F.col("id").cast("string"))}, ForeignKey("c", "p", "p")).count() == 0
 
 
+def test_orphan_cascade_runs_down_three_levels_and_round_a_circle(spark):
+    by_id = F.col("id").cast("string")
+    table = lambda rows, *refs: Keyed(spark.createDataFrame(rows, "id bigint, " + ", ".join(f"{r} bigint" for r in refs)), by_id)
+    tables = {"p": table([(1, None)], "x"), "c": table([(10, 1), (11, 7), (12, None)], "p"), "g": table([(20, 10), (21, 11)], "c"), "h": table([(30, 20), (31, 21), (32, 99)], "g")}
+    chain = [ForeignKey("c", "p", "p"), ForeignKey("g", "c", "c"), ForeignKey("h", "g", "g")]
+    expected = [("c", "11", "direct", "7"), ("g", "21", "inherited", None), ("h", "31", "inherited", None), ("h", "32", "direct", "99")]
+    found = lambda t, k: sorted((r["source_table"], r["row_key"], r["kind"], r["missing_key"]) for r in orphan_cascade(t, k).collect())
+    assert found(tables, chain) == expected
+    # c refers to h as well, so the references run in a circle: 10 hangs on the orphan 31, and 20 and 30 on 10
+    circle = tables | {"c": table([(10, 1, 31), (11, 7, 30), (12, None, None)], "p", "h")}
+    more = {("c", "10", "inherited", None), ("g", "20", "inherited", None), ("h", "30", "inherited", None), ("c", "11", "inherited", None)}
+    assert set(found(circle, [*chain, ForeignKey("c", "h", "h")])) == set(expected) | more
+
+
 def test_orphan_hot_key_and_chain(spark):
     hot = spark.createDataFrame([(i, 99 if i % 3 == 0 else 1) for i in range(900)], "id bigint, p bigint")
     tables = {"p": Keyed(spark.createDataFrame([(1,)], "id bigint"), F.col("id").cast("string")), "c": Keyed(hot, F.col("id").cast("string")), "g": Keyed(hot.select(F.col("id").alias("id"), F.col("id").alias("c")), F.col("id").cast("string"))}
