@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator, Sequence
-from itertools import islice, permutations, product
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from itertools import permutations, product
 
 import numpy as np
 import pandas as pd
@@ -38,6 +38,7 @@ ADDITIONS = frozenset(
     "form forms only also spec old fashioned literary humorous rare dated slang c u t i or tr intr countable uncountable transitive intransitive before after noun verb plural singular not "
     "used with on upon up out in off at for of by it the".split()
 )
+LONG_VALUE = 12
 _BRACKETED = re.compile(r"\([^()]*\)|\[[^\[\]]*\]|\{[^{}]*\}|<[^<>]*>")
 _WORD = re.compile(r"[^\W_]+")
 _AND = re.compile(r"[&+/]")
@@ -129,18 +130,20 @@ def _tokens(text: str) -> list[str]:
     return _WORD.findall(text.replace("'", "").replace("’", ""))
 
 
-def forms(value: str, abbreviations: bool, most: int = 400) -> list[tuple[int, tuple[str, ...]]]:
+def forms(value: str, abbreviations: bool) -> list[tuple[int, tuple[str, ...]]]:
     """(cost, words) of the readings of a typed value, the literal one first.
 
     Readings without bracketed labels, without added labels or particles, with `&` read as `and`, with
     abbreviations written out, and with the words in another order. Costs order the readings, so that a
-    plainer one wins. Values of more than 12 words have only their first two readings.
+    plainer one wins. Of values of more than LONG_VALUE words each abbreviation has its first meaning only and
+    labels are left out all together, not one by one; other orders of more than three words are not listed, as the
+    search compares those in alphabetical order.
     """
     text = _plain(value)
     seen: dict[tuple[str, ...], int] = {}
 
     def put(cost: int, words: Sequence[str]) -> None:
-        if words and len(seen) < most:
+        if words:
             seen.setdefault(tuple(words), cost)
 
     bare = _BRACKETED.sub(" ", text)
@@ -150,18 +153,19 @@ def forms(value: str, abbreviations: bool, most: int = 400) -> list[tuple[int, t
         put(cost, _tokens(t.replace(".", "")))
         put(cost, _tokens(_AND.sub(" and ", t)))
         put(cost, _tokens(_AND.sub(" and ", t.replace(".", ""))))
-    if max(map(len, seen), default=0) > 12:
-        return [(c, w) for w, c in islice(seen.items(), 2)]
+    few = max(map(len, seen), default=0) <= LONG_VALUE
+    plain = list(seen.items())
     for words, cost in list(seen.items()):
         added = [i for i, w in enumerate(words) if w in ADDITIONS]
         if len(words) > 1:
             put(cost + 2, [w for i, w in enumerate(words) if i not in added])
-            for i in added:
+            for i in added if few else ():
                 put(cost + 2, words[:i] + words[i + 1 :])
     if abbreviations:
-        for words, cost in list(seen.items()):
+        for words, cost in list(seen.items()) if few else plain:
             if any(w in ABBREVIATIONS for w in words):
-                for option in islice(product(*[(ABBREVIATIONS[w] if w in ABBREVIATIONS and w not in ("past", "modal") else (w, *ABBREVIATIONS.get(w, ()))) for w in words]), 16):
+                meanings = [(ABBREVIATIONS[w] if w in ABBREVIATIONS and w not in ("past", "modal") else (w, *ABBREVIATIONS.get(w, ()))) for w in words]
+                for option in product(*meanings) if few else [[m[0] for m in meanings]]:
                     put(cost + 1, " ".join(option).split())
     for words, cost in list(seen.items()):
         if 1 < len(words) <= 3:
@@ -202,19 +206,26 @@ def _bag(text: str) -> np.ndarray:
 class Matcher:
     """The reference entries of one shard, one tree per kind."""
 
-    def __init__(self, terms: Iterable[tuple[int, str, str]], abbreviated: Sequence[str]) -> None:
-        self.abbreviated, self.trees, self.by_key, self.words, self.bags = set(abbreviated), {}, {}, {}, {}
+    def __init__(self, terms: Iterable[tuple[int, str, str]], abbreviated: Sequence[str], words: Mapping[str, set[str]] | None = None) -> None:
+        """words: those of the whole list by kind, where `terms` are only a part of it."""
+        self.abbreviated, self.trees, self.by_key, self.words, self.bags = set(abbreviated), {}, {}, dict(words or {}), {}
+        self.in_order: dict[str, BKTree] = {}
+        self.by_order: dict[tuple[str, str], tuple[int, tuple[str, ...]]] = {}
         grouped: dict[str, list[tuple[int, str]]] = {}
         for term_id, kind, canonical in terms:
             grouped.setdefault(kind, []).append((term_id, canonical))
         for kind, entries in grouped.items():
             for term_id, canonical in sorted(entries):
-                words = tuple(_tokens(_plain(canonical)))
-                if words:
-                    self.by_key.setdefault((kind, "".join(words)), (term_id, words))
-                    self.words.setdefault(kind, set()).update(words)
+                own = tuple(_tokens(_plain(canonical)))
+                if own:
+                    self.by_key.setdefault((kind, "".join(own)), (term_id, own))
+                    if words is None:
+                        self.words.setdefault(kind, set()).update(own)
+                    if len(own) > 3:
+                        self.by_order.setdefault((kind, "".join(sorted(own))), (term_id, own))
             keys = [key for k, key in self.by_key if k == kind]
             self.trees[kind] = BKTree(keys)
+            self.in_order[kind] = BKTree(key for k, key in self.by_order if k == kind)
             self.bags[kind] = np.array([_bag(key) for key in keys]).reshape(len(keys), -1)
 
     def _near(self, kind: str, typed: str, most: int) -> bool:
@@ -252,12 +263,15 @@ class Matcher:
                 bags[letters] = self._near(kind, typed, 2)
             if not bags[letters]:
                 continue
-            known = self.words[kind].intersection(words)
-            for _, key in tree.within(typed, RADIUS_LONG if len(typed) >= LONG else RADIUS_SHORT):
-                term_id, stored = self.by_key[kind, key]
-                n = acceptable(typed, stored)
-                if n is not None and known.issubset(stored) and (best is None or (n * 100 + cost, term_id) < best):
-                    best = (n * 100 + cost, term_id)
+            known, radius = self.words.get(kind, set()).intersection(words), RADIUS_LONG if len(typed) >= LONG else RADIUS_SHORT
+            found = [(cost, typed, self.by_key[kind, key]) for _, key in tree.within(typed, radius)]
+            if len(words) > 3:
+                ordered = "".join(sorted(words))
+                found += [(cost + 3, ordered, self.by_order[kind, key]) for _, key in self.in_order[kind].within(ordered, radius)]
+            for price, letters, (term_id, stored) in found:
+                n = acceptable(letters, stored if letters == typed else sorted(stored))
+                if n is not None and known.issubset(stored) and (best is None or (n * 100 + price, term_id) < best):
+                    best = (n * 100 + price, term_id)
         return best or (-1, 0)
 
 
@@ -271,7 +285,8 @@ def canonical_terms(values: DataFrame, terms: DataFrame, abbreviated: Sequence[s
     are written out for the kinds in `abbreviated`.
 
     The entries are counted first. Up to shard_entries of them go to every task; more are cut into shards by
-    hash, each value asks every shard, and the winners of the shards are merged.
+    hash, each value asks every shard, and the winners of the shards are merged. Every shard knows the words of the
+    whole list, which decide what is no misspelling, so the result does not depend on the shards.
     """
     asked = values.where("kind is not null and value is not null").select("kind", "value").distinct()
     entries = terms.where("term_id is not null and kind is not null and canonical is not null").select(F.col("term_id").cast("bigint").alias("term_id"), "kind", "canonical").distinct()
@@ -293,8 +308,16 @@ def canonical_terms(values: DataFrame, terms: DataFrame, abbreviated: Sequence[s
     parts = entries.withColumn("shard", F.pmod(F.xxhash64("term_id"), F.lit(shards))).withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     questions = asked.withColumn("bucket", F.pmod(F.xxhash64("value"), F.lit(buckets)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))))
 
+    def own_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"kind": batch["kind"], "word": [_tokens(_plain(c)) for c in batch["canonical"]]}).explode("word").dropna().drop_duplicates()
+
+    words: dict[str, set[str]] = {}
+    for r in entries.select("kind", "canonical").mapInPandas(own_words, "kind string, word string").distinct().collect():  # words of the list, far fewer than its entries
+        words.setdefault(r["kind"], set()).add(r["word"])
+
     def search_shard(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        matcher = Matcher(zip(t["term_id"], t["kind"], t["canonical"]), abbreviated)
+        matcher = Matcher(zip(t["term_id"], t["kind"], t["canonical"]), abbreviated, words)
         found = [matcher.find(k, v) for k, v in zip(q["kind"], q["value"])]
         return pd.DataFrame({"kind": q["kind"], "value": q["value"], "rank": [f[0] for f in found], "term_id": [f[1] for f in found]})
 

@@ -94,6 +94,14 @@ def test_canonical_terms_sharded(spark):
     assert rows(canonical.canonical_terms(values.limit(0), terms, ("pos",))) == []
 
 
+def test_shards_know_the_words_of_the_whole_list(spark):
+    terms = spark.createDataFrame([(1, "t", "gran"), (2, "t", "grain seed"), (3, "t", "grainy"), (4, "t", "one two three four")], "term_id bigint, kind string, canonical string")
+    typed = ["grain", "gran", "garin seed", "graniy", "four three two one", "four three two onne", "one two three four (a long label of very many words that stands in brackets)"]
+    values = spark.createDataFrame([("t", v) for v in typed], "kind string, value string")
+    found = [{r["value"]: r["term_id"] for r in canonical.canonical_terms(values, terms, shard_entries=n).collect()} for n in (1, 2, 20_000)]
+    assert found[0] == found[1] == found[2] == dict(zip(typed, [0, 1, 2, 3, 4, 4, 4]))
+
+
 # -- problem 3 ---------------------------------------------------------------------------------------------------
 
 
