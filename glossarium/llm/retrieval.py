@@ -22,7 +22,6 @@ import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Mapping, Sequence
-from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
@@ -47,7 +46,6 @@ BUCKET_ROWS = 400_000
 RETRIEVED = 0.6
 #: Tied pairs that the word pairs and the calibration are learned from, at most, chosen by hash.
 LEARNED_FROM = 60_000
-
 _WORD = re.compile(r"[^\W_]+(?:-[^\W_]+)*")
 _ALIKE = str.maketrans(CYRILLIC_AS_LATIN | GREEK_AS_LATIN)
 _LATIN = re.compile("[A-Za-z]")
@@ -110,47 +108,61 @@ def _range(start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(start - _starts(sizes), sizes) + np.arange(sizes.sum())
 
 
-@dataclass
+def _sorted_table(keys: Iterable[int], values: Iterable[int]) -> tuple[np.ndarray, np.ndarray]:
+    keys, values = np.fromiter(keys, dtype=np.int32), np.fromiter(values, dtype=np.int32)
+    order = np.lexsort((values, keys))
+    return keys[order], values[order]
+
+
 class Vocabulary:
-    """How many records have a term (1 if not named), and which terms of a query stand for which terms of the index."""
+    """How many records have a term (1 if not named), and which terms of a query stand for which terms of the index.
 
-    n_index: int
-    df: dict[int, int]
-    same: dict[int, int] = field(default_factory=dict)
-    either: dict[int, tuple[int, ...]] = field(default_factory=dict)
+    df: a mapping, or (ascending terms, their numbers) as arrays. Up to TERMS terms are held, at 13 bytes each.
+    """
 
-    def __post_init__(self) -> None:
+    def __init__(self, n_index: int, df: Mapping[int, int] | tuple[np.ndarray, np.ndarray], same: Mapping[int, int] | None = None, either: Mapping[int, tuple[int, ...]] | None = None) -> None:
+        self.n_index, self.same, self.either = n_index, dict(same or {}), dict(either or {})
         self.groups = {t: tuple(sorted({self.canonical(t), *g})) for t, g in self.either.items()}
-        known = {0: 1} | dict(self.df) | {t + TERMS: sum(self.df.get(x, 1) for x in g) for t, g in self.groups.items()}
-        terms, df = np.array(sorted(known.items()), dtype=np.int64).reshape(-1, 2).T
-        df = np.clip(df, 1, max(1, self.n_index))
-        order = np.lexsort((terms, df))
+        self._same = _sorted_table(self.same.keys(), self.same.values())
+        self._either = np.array(sorted(self.either), dtype=np.int32)
+        self._members, self._grouped = _sorted_table((x for g in self.groups.values() for x in g), (t + TERMS for t, g in self.groups.items() for _ in g))
+        terms, counts = _sorted_table(df.keys(), df.values()) if isinstance(df, Mapping) else (df[0].astype(np.int32), df[1].astype(np.int32))
+        if not len(terms) or terms[0]:
+            terms, counts = np.append(np.int32(0), terms), np.append(np.int32(1), counts)
+        at = np.minimum(np.searchsorted(terms, self._members), len(terms) - 1)
+        summed = np.zeros(len(self._either), dtype=np.int64)
+        np.add.at(summed, np.searchsorted(self._either, self._grouped - TERMS), np.where(terms[at] == self._members, counts[at], 1))
+        ceiling = max(1, n_index)
+        counts = np.clip(np.concatenate([counts, np.minimum(summed, ceiling).astype(np.int32)]), 1, ceiling)
         #: Ranks: codes from 0 on, rarest first; a term that is not named has the code term - _UNKNOWN and is rarer than all.
-        self.terms, self.rank = terms.astype(np.int32), np.empty(len(terms), dtype=np.int32)
-        self.rank[order] = np.arange(len(terms), dtype=np.int32)
-        self.ranked_df = df[order]
-        self.ranked_name = (terms[order] >= NAMES) & (terms[order] < TERMS)
-        self.weights = self._weights(self.ranked_df, self.ranked_name)
+        self.terms = np.concatenate([terms, self._either + np.int32(TERMS)])
+        order = np.argsort(counts, kind="stable")
+        self.rank = np.empty(len(order), dtype=np.int32)
+        self.rank[order] = np.arange(len(order), dtype=np.int32)
+        self.ranked_df = counts[order]
+        self.ranked_name = ((self.terms >= NAMES) & (self.terms < TERMS))[order]
         self.rare = [float(self._weights(np.array([1]), np.array([b]))[0]) for b in (False, True)]
 
     def _weights(self, df: np.ndarray, name: np.ndarray) -> np.ndarray:
         df = np.where(name, np.maximum(df, NAME_SHARE * self.n_index), df)
         return np.log1p((self.n_index - df + 0.5) / (df + 0.5)) ** 2
 
+    def df_of(self, term: int) -> int:
+        """How many records have a term."""
+        code = self.codes(np.array([term]))
+        return int(self.postings(code)[0])
+
     def canonical(self, term: int) -> int:
         return self.same.get(term, term)
 
     def canonical_array(self, terms: np.ndarray) -> np.ndarray:
-        if not self.same:
+        keys, values = self._same
+        if not len(keys):
             return terms
-        keys = np.array(sorted(self.same), dtype=terms.dtype)
         at = np.minimum(np.searchsorted(keys, terms), len(keys) - 1)
-        values = np.array([self.same[k] for k in keys.tolist()], dtype=terms.dtype)
         return np.where(keys[at] == terms, values[at], terms)
 
     def codes(self, terms: np.ndarray) -> np.ndarray:
-        if not len(self.terms):
-            return (terms - _UNKNOWN).astype(np.int64)
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         return np.where(self.terms[at] == terms, self.rank[at], terms - _UNKNOWN).astype(np.int64)
 
@@ -167,21 +179,19 @@ class Vocabulary:
 
     def weight(self, codes: np.ndarray, name: np.ndarray) -> np.ndarray:
         out = np.where(name, self.rare[1], self.rare[0])
-        out[codes >= 0] = self.weights[codes[codes >= 0]]
+        known = codes >= 0
+        out[known] = self._weights(self.ranked_df[codes[known]], name[known])
         return out
 
     def record_codes(self, terms: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(owners, codes) of records, rarest first; terms that a query term may stand for are added under its own name."""
         terms = self.canonical_array(terms)
-        parts = [(owner, terms)]
-        for t, group in self.groups.items():
-            holds = np.isin(terms, group)
-            parts.append((owner[holds], np.full(holds.sum(), t + TERMS, dtype=terms.dtype)))
-        return self._sorted(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+        low = np.searchsorted(self._members, terms, "left")
+        n = np.searchsorted(self._members, terms, "right") - low
+        return self._sorted(np.concatenate([owner, np.repeat(owner, n)]), np.concatenate([terms, self._grouped[_range(low, n)]]))
 
     def query_codes(self, terms: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        several = np.isin(terms, np.array(sorted(self.either), dtype=terms.dtype))
-        return self._sorted(owner, np.where(several, terms + TERMS, self.canonical_array(terms)))
+        return self._sorted(owner, np.where(np.isin(terms, self._either), terms + TERMS, self.canonical_array(terms)))
 
     def _sorted(self, owner: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         key = _unique(owner << 32 | (self.codes(terms) + _UNKNOWN))
@@ -266,7 +276,7 @@ class Buckets:
     def __init__(self, vocabulary: Vocabulary, common: int, rows: int = BUCKET_ROWS) -> None:
         self.common = common
         hot = np.flatnonzero(vocabulary.ranked_df > rows)
-        self.hot, self.salts = hot, -(-vocabulary.ranked_df[hot] // rows)
+        self.hot, self.salts = hot, -(-vocabulary.ranked_df[hot].astype(np.int64) // rows)
         self.first = common + _starts(self.salts)
 
     def of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -393,8 +403,8 @@ def _counted(parts: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"term": terms[edges].astype(np.int32), "n": np.diff(np.append(edges, len(terms)))})
 
 
-def term_counts(records: DataFrame, at_least: int) -> tuple[dict[int, int], int]:
-    """(how many records have each term, of terms that so many have, and how many records there are); at most TERMS terms."""
+def term_counts(records: DataFrame, at_least: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(terms that so many records have, how many have each, how many records there are); at most TERMS terms."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -408,10 +418,97 @@ def term_counts(records: DataFrame, at_least: int) -> tuple[dict[int, int], int]
             yield _counted(held)
 
     counted = records.select(F.concat("terms", F.array(F.lit(-1))).alias("terms")).mapInArrow(count, "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n")).where((F.col("n") >= at_least) | (F.col("term") < 0))
-    found = counted.toArrow()
-    counts = dict(zip(found["term"].to_pylist(), found["n"].to_pylist()))
-    n = counts.pop(-1, 0)
-    return counts, n
+    found = counted.select("term", F.col("n").cast("int").alias("n")).toArrow()
+    terms, n = found["term"].to_numpy(), found["n"].to_numpy()
+    return terms[terms >= 0], n[terms >= 0], int(n[terms < 0].sum())
+
+
+#: Tied pairs, times terms, whose term pairs a worker counts at once.
+_PAIRS_AT_ONCE = 4_000_000
+
+
+def word_pairs(alone: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(y, x, share) as arrays: the index terms x that at least 0.25 of the pairs that have y in the query alone have in
+    the record alone, six times as often as x is among such pairs in general, in three pairs or more.
+
+    alone: (x, y), arrays of terms below NAMES. Every pair counts. The driver gets two tables over terms and what is
+    found, at most four times as many rows as a record has terms for each y.
+    """
+    counts = alone.select(F.explode("y").alias("t"), F.lit(1).alias("y"), F.lit(0).alias("x")).unionByName(alone.select(F.explode("x").alias("t"), F.lit(0).alias("y"), F.lit(1).alias("x")))
+    counts = counts.groupBy("t").agg(F.sum("y").cast("int").alias("y"), F.sum("x").cast("int").alias("x")).where("y >= 3 or x >= 3").toArrow()
+    seen, held = np.zeros(NAMES, dtype=np.int32), np.zeros(NAMES, dtype=np.int32)
+    for table, c in ((seen, "y"), (held, "x")):
+        n = counts[c].to_numpy()
+        table[counts["t"].to_numpy()[n >= 3]] = n[n >= 3]
+    total = max(1, int(seen.sum(dtype=np.int64)))
+    tables = alone.sparkSession.sparkContext.broadcast((seen, held))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each y, with those x that are frequent enough for it."""
+        seen, held = tables.value
+        for batch in batches:
+            (owner_x, x), (owner_y, y) = _flat(batch.column(0)), _flat(batch.column(1))
+            keep_x, keep_y = held[x] > 0, seen[y] > 0
+            (owner_x, x), (owner_y, y) = (owner_x[keep_x], x[keep_x]), (owner_y[keep_y], y[keep_y])
+            sizes = np.bincount(owner_x, minlength=batch.num_rows)
+            start, n = _starts(sizes), sizes[owner_y]
+            by, x = np.repeat(np.arange(len(y)), n), x[_range(start[owner_y], n)]
+            fits = held[x] >= 0.25 * seen[y[by]]
+            by, x = by[fits], x[fits]
+            used = _unique(by)
+            yield pa.RecordBatch.from_arrays([pa.array(y[used].astype(np.int32)), _lists(np.searchsorted(used, by), x, len(used))], ["y", "x"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come in order of y; what a y has so far is kept until the next y."""
+        seen, _ = tables.value
+        keys, n, waiting, size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), [], 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            new = np.concatenate(waiting) if waiting else np.zeros(0, dtype=np.int64)
+            both = np.concatenate([keys, new])
+            order = np.argsort(both, kind="stable")
+            both, weights = both[order], np.concatenate([n, np.ones(len(new), dtype=np.int64)])[order]
+            edges = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, dtype=np.int64)
+            return both[edges], np.add.reduceat(weights, edges) if len(edges) else weights
+
+        def found(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            y = keys >> 32
+            kept = (n >= 3) & (n >= 0.25 * seen[y])
+            return pa.RecordBatch.from_arrays([pa.array(y[kept].astype(np.int32)), pa.array((keys[kept] & 0xFFFFFFFF).astype(np.int32)), pa.array(n[kept].astype(np.int32))], ["y", "x", "n"])
+
+        for batch in batches:
+            owner, x = _flat(batch.column(1))
+            waiting.append(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[owner] << 32 | x)
+            size += len(x)
+            if size > _PAIRS_AT_ONCE:
+                keys, n = merged()
+                last = keys >> 32 == keys[-1] >> 32
+                yield found(keys[~last], n[~last])
+                keys, n, waiting, size = keys[last], n[last], [], 0
+        yield found(*merged())
+
+    got = alone.select("x", "y").mapInArrow(split, "y int, x array<int>").repartition("y").sortWithinPartitions("y").mapInArrow(count, "y int, x int, n int").toArrow()
+    named = np.zeros(NAMES, dtype=bool)
+    named[got["x"].to_numpy()] = True
+    chosen = alone.sparkSession.sparkContext.broadcast(named)
+
+    def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each x that was found, the pairs of it and a y."""
+        seen, _ = tables.value
+        for batch in batches:
+            (owner_x, x), (owner_y, y) = _flat(batch.column(0)), _flat(batch.column(1))
+            wanted = chosen.value[x]
+            terms, at = np.unique(x[wanted], return_inverse=True)
+            n = np.bincount(owner_y[seen[y] > 0], minlength=batch.num_rows)[owner_x[wanted]]
+            yield pa.RecordBatch.from_arrays([pa.array(terms.astype(np.int32)), pa.array(np.bincount(at, weights=n, minlength=len(terms)).astype(np.int64))], ["x", "n"])
+
+    general = alone.select("x", "y").mapInArrow(beside, "x int, n bigint").groupBy("x").agg(F.sum("n").alias("n")).toArrow()
+    base = np.zeros(NAMES, dtype=np.int64)
+    base[general["x"].to_numpy()] = general["n"].to_numpy()
+    y, x = got["y"].to_numpy(), got["x"].to_numpy()
+    share = got["n"].to_numpy() / np.maximum(seen[y], 1)
+    kept = share >= 6 * base[x] / total
+    return y[kept], x[kept], share[kept]
 
 
 def learn_vocabulary(sets: DataFrame, index: DataFrame, queries: DataFrame, tied: DataFrame) -> Vocabulary:
@@ -425,39 +522,30 @@ def learn_vocabulary(sets: DataFrame, index: DataFrame, queries: DataFrame, tied
     A query term that the tied index record lacks is taken to stand for the index term that at least 0.6 of those
     records have and it has not, in three pairs or more; where several terms have at least 0.25, for any of them.
     """
-    df, n_index = term_counts(sets, 2)
-    query_df, n_asked = term_counts(queries.select("terms").distinct(), 2)
-    sample = tied.orderBy(F.xxhash64("index_id", "query_id"), "index_id", "query_id").limit(LEARNED_FROM)
-    sample = cut(sample)
+    terms, n, n_index = term_counts(sets, 2)
+    query_terms, query_n, n_asked = term_counts(queries.select("terms").distinct(), 2)
+    df = np.zeros(TERMS, dtype=np.int32)
+    df[terms] = n
     words = F.array_except(F.filter("terms", lambda t: t < NAMES), F.array(F.coalesce("kind", F.lit(-1))))
-    asked = lambda df, c: df.select(F.col("id").alias(c), words.alias("terms")).join(F.broadcast(sample.select(c).distinct()), c, "left_semi")  # noqa: E731  (at most LEARNED_FROM rows)
-    both = cut(sample.join(asked(index, "index_id").withColumnRenamed("terms", "a"), "index_id").join(asked(queries, "query_id").withColumnRenamed("terms", "b"), "query_id"))
-    alone = both.select(F.array_except("b", "a").alias("y"), F.array_except("a", "b").alias("x")).select(F.explode("y").alias("y"), "x")
-    seen = {r["y"]: r["n"] for r in alone.groupBy("y").agg(F.count(F.lit(1)).alias("n")).where("n >= 3").collect()}
-    pairs = alone.select("y", F.explode("x").alias("x")).groupBy("y", "x").agg(F.count(F.lit(1)).alias("n")).where("n >= 3").collect()
-    base: dict[int, int] = defaultdict(int)
-    for r in pairs:
-        base[r["x"]] += r["n"]
-    total = max(1, sum(seen.values()))
+    side = lambda df, c, n: df.select(F.col("id").alias(c), words.alias(n))
+    tied = cut(tied.orderBy(F.xxhash64("index_id", "query_id"), "index_id", "query_id").limit(LEARNED_FROM))
+    both = tied.join(side(index, "index_id", "a"), "index_id").join(side(queries, "query_id", "b"), "query_id")
+    alone = cut(both.select(F.array_except("a", "b").alias("x"), F.array_except("b", "a").alias("y")).where("size(y) > 0"))
     options: dict[int, list[tuple[float, int]]] = defaultdict(list)
-    for r in pairs:
-        y, x, n = r["y"], r["x"], r["n"]
-        if y not in seen:
-            continue
-        share = n / seen[y]
-        if share >= 0.25 and share >= 6 * base[x] / total:
-            options[y].append((share, x))
+    for y, x, share in zip(*(c.tolist() for c in word_pairs(alone))):
+        options[y].append((share, x))
     same: dict[int, int] = {}
     either: dict[int, tuple[int, ...]] = {}
     for y, found in options.items():
         share, x = max(found, key=lambda f: (f[0], -f[1]))
-        if len(found) == 1 and share >= 0.6 and df.get(y, 0) <= 0.2 * df.get(x, 0):
+        if len(found) == 1 and share >= 0.6 and df[y] <= 0.2 * df[x]:
             same[y] = x
         else:
             either[y] = tuple(sorted(x for _, x in found))
     same = {y: x for y, x in same.items() if x not in same}
-    known = {t: max(df.get(t, 0), round(query_df.get(t, 0) * n_index / max(1, n_asked))) for t in df.keys() | query_df.keys()}
-    return Vocabulary(n_index, {t: n for t, n in known.items() if n >= 2}, same, either)
+    df[query_terms] = np.maximum(df[query_terms], np.rint(query_n.astype(np.int64) * n_index / max(1, n_asked)).astype(np.int32))
+    known = np.flatnonzero(df >= 2)
+    return Vocabulary(n_index, (known, df[known]), same, either)
 
 
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -503,8 +591,15 @@ def retrieve(index: DataFrame, queries: DataFrame, vocabulary: Vocabulary, share
     more than bucket_rows records have.
     """
     spark, known = index.sparkSession, len(vocabulary.terms)
+    fields = spark.sparkContext.broadcast(vars(vocabulary))  # sent once, not with each function; a broadcast goes without its class
+
+    def held() -> Vocabulary:
+        vocabulary = Vocabulary.__new__(Vocabulary)
+        vocabulary.__dict__ = fields.value
+        return vocabulary
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = held()
         for batch in batches:
             owner, terms = _flat(batch.column(1))
             asked = Asked(*vocabulary.query_codes(terms, owner), batch.num_rows, vocabulary, share)
@@ -519,14 +614,15 @@ def retrieve(index: DataFrame, queries: DataFrame, vocabulary: Vocabulary, share
     met = asked.select("lead", "prefix", F.posexplode(F.concat("rare", F.transform("often", lambda c: F.lit(known - 1 - (_SHORT >> 1)) - c.cast("int")))).alias("place", "code")).where(F.col("code") >= often).groupBy("code").agg(*[F.max(u.cast("int")).alias(n) for n, u in uses.items()]).toArrow()
     code = met["code"].to_numpy()
     chosen = {"named": np.sort(code)} | {n: np.sort(code[met[n].to_numpy() == 1]) for n in uses}
-    total_rows = int(vocabulary.ranked_df.sum())
+    total_rows = int(vocabulary.ranked_df.sum(dtype=np.int64))
     common = int(max(spark.sparkContext.defaultParallelism * 2, -(-total_rows // bucket_rows)))
     buckets = Buckets(vocabulary, common, bucket_rows)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            owner, codes = vocabulary.record_codes(_flat(batch.column(1))[1], _flat(batch.column(1))[0])
+            owner, terms = _flat(batch.column(1))
+            owner, codes = held().record_codes(terms, owner)
             has = lambda n: (codes < often) | np.isin(codes, chosen[n])
             used = has("named")
             owner, codes = owner[used], codes[used]
@@ -558,7 +654,7 @@ def retrieve(index: DataFrame, queries: DataFrame, vocabulary: Vocabulary, share
             return none
         bucket = key[0].as_py()
         owner, codes = _unpacked(a["rare"], a["often"], known)
-        asked = Asked(*_unpacked(b["rare"], b["often"], known), b.num_rows, vocabulary, share)
+        asked = Asked(*_unpacked(b["rare"], b["often"], known), b.num_rows, held(), share)
         place = np.arange(len(asked.owner)) - asked.start[asked.owner]
         leads = buckets.inside(asked.codes, bucket) & (place < asked.lead[asked.owner])
         r, q, s = search_bucket((owner, codes, a.num_rows), asked, buckets.inside(codes, bucket), leads)
@@ -663,7 +759,7 @@ def brute_force(index: Mapping[int, Iterable[int]], queries: Mapping[str, Iterab
     """What retrieve gives, by scoring every pair; for tests."""
 
     def weight(term: int) -> float:
-        df = min(vocabulary.n_index, max(1, vocabulary.df.get(term, 1) if term < TERMS else sum(vocabulary.df.get(x, 1) for x in vocabulary.groups[term - TERMS])))
+        df = min(vocabulary.n_index, max(1, vocabulary.df_of(term) if term < TERMS else sum(vocabulary.df_of(x) for x in vocabulary.groups[term - TERMS])))
         return float(vocabulary._weights(np.array([df]), np.array([NAMES <= term < TERMS]))[0])
 
     out = set()

@@ -1,4 +1,6 @@
+import pickle
 import random
+import tracemalloc
 import unicodedata
 
 import numpy as np
@@ -179,6 +181,17 @@ def test_matched_finds_a_group_of_copies(spark):
     assert sorted(found) == sorted([(1000 + i, "q0") for i in range(200)] + [(i, f"q{i}") for i in range(1, 400, 2)])
 
 
+def test_vocabulary_of_many_terms_is_small():
+    n = 1_000_000
+    terms = np.arange(0, 3 * n, 3)
+    tracemalloc.start()
+    words = retrieval.Vocabulary(n, (terms, 2 + terms % 1000), {3: 6}, {9: (12, 15)})
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * n and len(pickle.dumps(words)) < 14 * n
+    assert [words.df_of(t) for t in (3, 4, 2997, 9 + retrieval.TERMS)] == [5, 1, 999, 2 + 9 + 2 + 12 + 2 + 15]
+
+
 def test_words_of_entities():
     assert retrieval.words_of("A level-topped ｂｉｒｄ, grаin; grain") == ["a", "level-topped", "bird", "grain"]
 
