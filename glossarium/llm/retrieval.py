@@ -44,8 +44,6 @@ NAME_SHARE = 0.025
 BUCKET_ROWS = 400_000
 #: Share of a query's weight that a record has to match to be retrieved.
 RETRIEVED = 0.6
-#: Tied pairs that the word pairs and the calibration are learned from, at most, chosen by hash.
-LEARNED_FROM = 60_000
 _WORD = re.compile(r"[^\W_]+(?:-[^\W_]+)*")
 _ALIKE = str.maketrans(CYRILLIC_AS_LATIN | GREEK_AS_LATIN)
 _LATIN = re.compile("[A-Za-z]")
@@ -512,7 +510,7 @@ def word_pairs(alone: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def learn_vocabulary(sets: DataFrame, index: DataFrame, queries: DataFrame, tied: DataFrame) -> Vocabulary:
-    """Weights from the distinct term sets of both sides; word pairs from up to LEARNED_FROM tied pairs (index_id, query_id).
+    """Weights from the distinct term sets of both sides; word pairs from all tied pairs (index_id, query_id).
 
     No term is left out: a frequent one weighs less. Its frequency is the larger of its shares of the two sides, so that
     a word that only one source keeps using weighs little too. Copies of a text count once. The weight is the BM25 weight
@@ -528,7 +526,6 @@ def learn_vocabulary(sets: DataFrame, index: DataFrame, queries: DataFrame, tied
     df[terms] = n
     words = F.array_except(F.filter("terms", lambda t: t < NAMES), F.array(F.coalesce("kind", F.lit(-1))))
     side = lambda df, c, n: df.select(F.col("id").alias(c), words.alias(n))
-    tied = cut(tied.orderBy(F.xxhash64("index_id", "query_id"), "index_id", "query_id").limit(LEARNED_FROM))
     both = tied.join(side(index, "index_id", "a"), "index_id").join(side(queries, "query_id", "b"), "query_id")
     alone = cut(both.select(F.array_except("a", "b").alias("x"), F.array_except("b", "a").alias("y")).where("size(y) > 0"))
     options: dict[int, list[tuple[float, int]]] = defaultdict(list)
@@ -681,17 +678,40 @@ def with_gaps(found: DataFrame) -> DataFrame:
 
 
 def calibrate(examples: DataFrame) -> np.ndarray:
-    """Coefficients of a logistic model over FEATURES and a constant, from labelled candidates (bounded by LEARNED_FROM)."""
-    rows = examples.orderBy(F.xxhash64("index_id", "query_id"), "index_id", "query_id").limit(LEARNED_FROM).select(*FEATURES, "label").toArrow().to_pandas().to_numpy(dtype=float)
+    """Coefficients of a logistic model over FEATURES and a constant, from all labelled candidates: Newton's method, each
+    step of which adds up gradient and Hessian over the workers."""
+    k = len(FEATURES) + 1
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.ascontiguousarray(np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).T)
+            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(rows.tobytes(), 1)])], ["rows"])
+
+    packed = cut(examples.select(*[F.col(c).cast("double") for c in (*FEATURES, "label")]).mapInArrow(pack, "rows binary"))
+
+    def sums(beta: np.ndarray) -> np.ndarray:
+        """Gradient, Hessian, number of rows and number of true ones."""
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(k + k * k + 2)
+            for blob in (x for batch in batches for x in batch.column(0).to_pylist()):
+                rows = np.frombuffer(zlib.decompress(blob)).reshape(k, -1).T
+                x, y = np.c_[rows[:, :-1], np.ones(len(rows))], rows[:, -1]
+                p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+                total += np.concatenate([x.T @ (y - p), (x.T @ (x * (p * (1 - p))[:, None])).ravel(), [len(y), y.sum()]])
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()])], ["sums"])
+
+        return sum((np.array(r["sums"]) for r in packed.mapInArrow(add, "sums array<double>").collect()), np.zeros(k + k * k + 2))
+
     prior = np.array([20.0, -10.0, -10.0, 1.0, 0.5, -16.0])  # where nothing is tied yet
-    if len(rows) < 50 or len(set(rows[:, -1])) < 2:
-        return prior
-    x, y = np.c_[rows[:, :-1], np.ones(len(rows))], rows[:, -1]
-    beta, ridge = prior.copy(), 1e-3 * len(x)
+    beta = prior.copy()
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        h = x.T @ (x * (p * (1 - p))[:, None]) + ridge * np.eye(len(beta)) * 0.01
-        step = np.linalg.solve(h, x.T @ (y - p) - ridge * 0.01 * (beta - prior))
+        total = sums(beta)
+        n, true = total[-2:]
+        if n < 50 or true in (0, n):
+            return prior
+        ridge = 1e-3 * n
+        step = np.linalg.solve(total[k:-2].reshape(k, k) + ridge * np.eye(k) * 0.01, total[:k] - ridge * 0.01 * (beta - prior))
         beta += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-6:
             break

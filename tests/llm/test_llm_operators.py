@@ -192,6 +192,29 @@ def test_vocabulary_of_many_terms_is_small():
     assert [words.df_of(t) for t in (3, 4, 2997, 9 + retrieval.TERMS)] == [5, 1, 999, 2 + 9 + 2 + 12 + 2 + 15]
 
 
+def test_words_are_learned_from_all_tied_pairs(spark):
+    n, groups = 70_000, 300
+    ids = spark.range(n).withColumn("q", F.concat(F.lit("q"), "id"))
+    term = lambda a, b: F.array(F.when(F.col("id") < 3 * groups, 1000 * a + F.floor(F.col("id") / 3)).otherwise(b + F.col("id") % 50).cast("int"))
+    index = ids.select("id", term(5, 100).alias("terms"), F.lit(None).cast("int").alias("kind"))
+    queries = ids.select(F.col("q").alias("id"), term(9, 200).alias("terms"), F.lit(None).cast("int").alias("kind"))
+    words = retrieval.learn_vocabulary(index.select("id", "terms"), index, queries, ids.select(F.col("id").alias("index_id"), F.col("q").alias("query_id")))
+    assert {9000 + i: 5000 + i for i in range(groups)} | {200 + i: 100 + i for i in range(50)} == words.same | {y: g[0] for y, g in words.either.items()}
+
+
+def test_calibration_uses_all_examples(spark):
+    n = 70_000
+    examples = spark.range(n).select(
+        F.col("id").alias("index_id"), F.col("id").cast("string").alias("query_id"), (F.col("id") % 101 / 100).alias("score"), (F.col("id") % 7 / 10).alias("gap_query"), (F.col("id") % 11 / 10).alias("gap_index"),
+        (F.col("id") % 2).cast("double").alias("same_name"), (F.col("id") % 3 % 2).cast("double").alias("same_kind"), F.when(F.pmod(F.xxhash64("id"), F.lit(100)) < F.col("id") % 101, 1).otherwise(0).alias("label"),
+    )
+    rows = examples.select(*retrieval.FEATURES, "label").toPandas().to_numpy(dtype=float)
+    x, y = np.c_[rows[:, :-1], np.ones(n)], rows[:, -1]
+    beta = retrieval.calibrate(examples)
+    prior = np.array([20.0, -10.0, -10.0, 1.0, 0.5, -16.0])
+    assert np.abs(x.T @ (y - 1 / (1 + np.exp(-x @ beta))) - 1e-5 * n * (beta - prior)).max() < 1e-3
+
+
 def test_words_of_entities():
     assert retrieval.words_of("A level-topped ｂｉｒｄ, grаin; grain") == ["a", "level-topped", "bird", "grain"]
 
