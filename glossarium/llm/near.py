@@ -1,37 +1,43 @@
-"""Near-duplicate texts with small edits: segment-popcount embedding, grid range-join, exact verification.
-
-Each text is a set of words. Its fingerprint has one bit per word, and the embedding counts the bits of each of
-SEGMENTS segments. The Manhattan distance of two embeddings is at most the number of words that are in one text
-only, so it is a lower bound that discards candidates. The grid: a text's counts are read as units (segment, 1),
-(segment, 2), ..., ordered by how many texts have the segment, rarest first; a cell is a choice of `depth` units.
-Two texts whose embeddings overlap in at least o units share the cell of their first `depth` common units, which
-lie among the first n - o + depth units of either, so only the cells of that range are entered.
+"""Near-duplicate texts with small edits: bucketed prefixes of rarest words, bit sketches, exact verification.
+
+Each text is a set of words. Words are hashed to units (hash, 1), (hash, 2), ... - the second where two words of a text
+share a hash - and the units of all texts are in one order, those of the rarest hashes first. Two texts of n and m
+words that are similar enough have at least o = max(needed(n), needed(m)) units in common, and the first d of these lie
+among the first n - o + d units of the one and m - o + d of the other. So a text is sent to the buckets of its first
+n - needed + 1 units, with the units that may follow; in a bucket texts meet that have the same first `depth` units.
+A unit that more than HOT texts have, has a bucket for each unit that may follow. Sizes and sketches rule out pairs
+before any is written; what is left is compared by its words. A text's words are shuffled only if it is in such a pair.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+import zlib
+from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glossarium.llm.canonical import edits
+from glossarium.llm.retrieval import _flat, _lists, _mix, _range, _starts, _triples, _unique
 from glossarium.operators.skew import SALT, salt_of
 from glossarium.session import cut
 
-#: The table of segment loads is bounded by this and goes to every task.
-SEGMENTS = 1 << 16
-#: Texts of at most so many words use cells of 3, of 2, beyond that of 1 unit; longer texts have rarer words.
+#: Hashes of words; the table of how many texts have each is bounded by this and goes to every task.
+HASHES = 1 << 22
+#: Texts of at most so many words meet by 3, by 2, beyond that by 1 unit; longer texts have rarer words.
 DEPTHS = ((36, 3), (100, 2))
-#: Sets whose least overlap is below the refined cells' five units have fewer than seven words, and partners of at most so many.
-SMALL_PARTNER = 10
-#: Cells with more texts are refined by two further units before pairs are formed.
-HOT = 64
+#: Texts of a unit from which it has a bucket for each unit that may follow.
+HOT = 400_000
+#: Rows of a bucket, and pairs that are looked at together.
+BUCKET_ROWS, _AT_ONCE = 200_000, 2_000_000
+#: Bits of the filters that say which texts are needed again.
+FILTER_BITS = 1 << 24
 _EPS = 1e-9
 
 # Words that are added to a title without making it another one.
@@ -44,119 +50,219 @@ def words_of(text: str | Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{M}\p{N}]+)"), 1))
 
 
-def _depth(n: Column) -> Column:
-    return F.when(n <= DEPTHS[0][0], 3).when(n <= DEPTHS[1][0], 2).otherwise(1)
+class _Hashed(dict):
+    """Hashes of words seen so far; emptied before it grows large."""
 
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        h = self[word] = zlib.crc32(word.encode())
+        return h
 
-def _needed(n: Column, threshold: float) -> Column:
+
+def _hashed(words: pa.Array, known: _Hashed) -> tuple[np.ndarray, np.ndarray]:
+    """(owners, 32-bit hashes) of the words of each row."""
+    split = [x.split(" ") for x in words.to_pylist()]
+    sizes = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+    return np.repeat(np.arange(len(split)), sizes), np.fromiter((known[w] for row in split for w in row), dtype=np.int64, count=int(sizes.sum()))
+
+
+def _needed(n: np.ndarray, threshold: float) -> np.ndarray:
     """Least overlap with any partner of a text of n words."""
-    return F.ceil(n * threshold - _EPS).cast("int")
-
-
-def _units(classes: DataFrame) -> DataFrame:
-    """classes with `units`: the embedding's units, rarest segment first."""
-    segs = classes.withColumn("segs", F.transform("words", lambda w: F.pmod(F.xxhash64(w), F.lit(SEGMENTS)).cast("int")))
-    loads = np.zeros(SEGMENTS, dtype=np.int64)
-    counted = segs.select(F.explode(F.array_distinct("segs")).alias("seg")).groupBy("seg").count()
-    found = counted.toArrow()  # at most SEGMENTS rows
-    loads[found["seg"].to_numpy()] = found["count"].to_numpy()
-    rank = np.empty(SEGMENTS, dtype=np.int32)
-    rank[np.lexsort((np.arange(SEGMENTS), loads))] = np.arange(SEGMENTS, dtype=np.int32)
-
-    @F.pandas_udf("array<int>")
-    def ordered(column: pd.Series) -> pd.Series:
-        out = []
-        for seg in column:
-            ranks = np.sort(rank[seg])
-            first = np.searchsorted(ranks, ranks)  # equal ranks count 0, 1, ... units
-            out.append(ranks + SEGMENTS * np.minimum(np.arange(len(ranks)) - first, 32_000))
-        return pd.Series(out)
-
-    return segs.withColumn("units", ordered("segs")).drop("segs")
-
-
-def _cells(units: str, depth: int, size: Column) -> Column:
-    """array<struct<cell, last>>: every choice of `depth` of the first `size` units, with the place of its last unit."""
-    at = lambda i: F.get(F.col(units), i)
-    up = lambda a, b: F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<int>"))
-    zero, end = F.lit(0), F.least(size, F.size(units)) - 1
-    one = lambda i: F.struct(F.xxhash64(F.lit(1), at(i)).alias("cell"), i.alias("last"))
-    two = lambda i, j: F.struct(F.xxhash64(F.lit(2), at(i), at(j)).alias("cell"), j.alias("last"))
-    three = lambda i, j, k: F.struct(F.xxhash64(F.lit(3), at(i), at(j), at(k)).alias("cell"), k.alias("last"))
-    if depth == 1:
-        return F.transform(up(zero, end), one)
-    if depth == 2:
-        return F.flatten(F.transform(up(zero, end), lambda i: F.transform(up(i + 1, end), lambda j: two(i, j))))
-    return F.flatten(F.transform(up(zero, end), lambda i: F.flatten(F.transform(up(i + 1, end), lambda j: F.transform(up(j + 1, end), lambda k: three(i, j, k))))))
-
-
-def similar_classes(classes: DataFrame, threshold: float) -> DataFrame:
-    """(class_a, class_b, similarity), class_a < class_b: every pair of different word sets with that similarity or more.
-
-    classes: (class_id, words), each word set once. Similarity is shared words over all words of both. Sets of one
-    or two words are similar only to themselves. Sets are compared in full, whatever their size. Works for
-    thresholds above 2/3, for which sets of three or more words overlap in at least three.
-    """
-    if threshold <= 2 / 3:
-        raise ValueError("the cells need a threshold above 2/3")
-    sized = cut(_units(classes).withColumns({"n": F.size("words"), "sketch": _sketch("words")}).where("n >= 3"))
-    entered = None
-    for depth in (3, 2, 1):
-        own = sized.where((_depth(F.col("n")) == depth) | (_depth(F.floor(F.col("n") / threshold + _EPS)) == depth))
-        got = own.select("class_id", "sketch", "n", F.explode(_cells("units", depth, F.col("n") - _needed(F.col("n"), threshold) + depth)).alias("c")).select(
-            F.col("c.cell").alias("cell"), "class_id", "sketch", (F.shiftleft(F.col("n").cast("bigint"), 32) + F.col("c.last") * 4 + depth).alias("meta")
-        )
-        entered = got if entered is None else entered.unionByName(got)
-    # One shuffle by cell; the counting window and the join of calm cells stay on it.
-    shared = entered.withColumn("crowd", F.count(F.lit(1)).over(W.partitionBy("cell"))).where("crowd > 1")
-    n_of = F.shiftright("meta", 32).cast("int").alias("n")
-    calm = shared.where(F.col("crowd") <= HOT).select("cell", "class_id", "sketch", n_of)
-    # Refined: the next two common units, which lie in the next places of the range; sets whose least overlap is
-    # less than depth + 2 (fewer than seven words) stay in the cell, as they have hardly more units than it names.
-    hot = (
-        shared.where(F.col("crowd") > HOT)
-        .select("cell", "class_id", "sketch", n_of, F.shiftright(F.col("meta").bitwiseAND(0xFFFFFFFF), 2).cast("int").alias("last"), F.col("meta").bitwiseAND(3).cast("int").alias("depth"))
-        .join(sized.select("class_id", "units"), "class_id")
-    )
-    needed = _needed(F.col("n"), threshold)
-    reach = F.least(F.col("n") - needed + F.col("depth") + 2, F.size("units"))
-    later = F.slice("units", F.col("last") + 2, F.greatest(reach - F.col("last") - 1, F.lit(0)))
-    refined = hot.where(needed >= F.col("depth") + 2).withColumn("later", later)
-    finer = refined.select(F.explode(_cells("later", 2, F.size("later"))).alias("c"), "cell", "class_id", "sketch", "n").select(F.xxhash64("cell", "c.cell").alias("cell"), "class_id", "sketch", "n")
-    # A small set in a refined cell may have partners of any size up to ten words: it meets them in the unrefined cell.
-    named = ["cell", "class_id", "sketch", "n"]
-    small = hot.where(needed < F.col("depth") + 2).select(*named)
-    partners = hot.where(F.col("n") <= SMALL_PARTNER).select(*named)
-    pairs = _pairs(calm, calm, threshold).unionByName(_pairs(finer, finer, threshold)).unionByName(_pairs(small, partners, threshold)).distinct()
-    left = sized.select(F.col("class_id").alias("class_a"), F.col("words").alias("words_a"), F.col("units").alias("units_a"))
-    right = sized.select(F.col("class_id").alias("class_b"), F.col("words").alias("words_b"), F.col("units").alias("units_b"))
-    total = F.size("words_a") + F.size("words_b")
-    manhattan = total - 2 * F.size(F.array_intersect("units_a", "units_b"))
-    shared_words = F.size(F.array_intersect("words_a", "words_b"))
-    return (
-        pairs.join(left, "class_a")
-        .join(right, "class_b")
-        .where(manhattan <= total - 2 * F.ceil(total * (threshold / (1 + threshold)) - _EPS))
-        .select("class_a", "class_b", (shared_words / (total - shared_words)).alias("similarity"))
-        .where(F.col("similarity") >= threshold - _EPS)
-    )
+    return np.ceil(n * threshold - _EPS).astype(np.int64)
 
 
-def _sketch(words: str) -> Column:
-    """64 bits, each the parity of the words that hash to it: two sketches differ in at most as many bits as there are words in one set only."""
-    return F.aggregate(
-        F.transform(words, lambda w: F.pmod(F.xxhash64(w, F.lit(7)), F.lit(64)).cast("int")), F.lit(0).cast("bigint"), lambda acc, bit: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit))
-    )
+def _depth(n: np.ndarray) -> np.ndarray:
+    return np.where(n <= DEPTHS[0][0], 3, np.where(n <= DEPTHS[1][0], 2, 1))
+
+
+def _schema(df: DataFrame) -> str:
+    return ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
+
+
+def packed_cut(df: DataFrame) -> DataFrame:
+    """cut(df) of compressed columns: (rows binary); read by unpacked()."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(batch)
+            yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["rows"])
+
+    return cut(df.mapInArrow(pack, "rows binary"))
 
 
-def _pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of a cell that sizes and sketches allow; what they rule out is never written."""
-    a, b = left.alias("a"), right.alias("b")
-    total = F.col("a.n") + F.col("b.n")
-    fits = F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * threshold - _EPS
-    fits &= (F.col("a.class_id") < F.col("b.class_id")) if left is right else (F.col("a.class_id") != F.col("b.class_id"))
-    fits &= F.bit_count(F.col("a.sketch").bitwiseXOR(F.col("b.sketch"))) <= total - 2 * F.ceil(total * (threshold / (1 + threshold)) - _EPS)
-    return a.join(b, (F.col("a.cell") == F.col("b.cell")) & fits).select(F.least("a.class_id", "b.class_id").alias("class_a"), F.greatest("a.class_id", "b.class_id").alias("class_b"))
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for blob in (x for batch in batches for x in batch.column(0).to_pylist()):
+        yield from pa.ipc.open_stream(blob)
+
+
+def members_of(blobs: DataFrame, schema: str, key: str, keys: DataFrame) -> DataFrame:
+    """The rows of a packed_cut whose `key` is among keys (one bigint column), and a few others. The driver gets a bitmap
+    of FILTER_BITS bits, whatever the number of keys."""
+    bits = keys.toDF("k").select(F.pmod("k", F.lit(FILTER_BITS)).alias("b")).groupBy((F.shiftright("b", 6)).alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("b") % 64).cast("int"))).alias("bits")).toArrow()
+    table = np.zeros(FILTER_BITS >> 6, dtype=np.int64)
+    table[bits["at"].to_numpy()] = bits["bits"].to_numpy()
+    held = keys.sparkSession.sparkContext.broadcast(table)
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in unpacked(batches):
+            b = np.mod(batch.column(key).to_numpy(), FILTER_BITS)
+            yield batch.filter(pa.array(held.value[b >> 6] >> (b & 63) & 1 == 1))
+
+    return blobs.mapInArrow(chosen, schema)
+
+
+def candidates(blobs: DataFrame, threshold: float) -> DataFrame:
+    """(class_a, class_b), class_a < class_b: pairs of classes of similar size and sketch that have their first units in
+    common, each once. blobs: packed (class_id, words), the words of a row joined by spaces; copies count once.
+    """
+    if threshold <= 2 / 3:
+        raise ValueError("the units need a threshold above 2/3")
+    spark, hot_from = blobs.sparkSession, HOT
+    parallel = spark.sparkContext.defaultParallelism
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, total = _Hashed(), np.zeros(HASHES, dtype=np.int32)
+        sends = 0
+        for batch in unpacked(batches):
+            owner, h = _hashed(batch.column("words"), known)
+            total += np.bincount(_unique(owner << 22 | (h & (HASHES - 1))) & (HASHES - 1), minlength=HASHES).astype(np.int32)
+            n = np.bincount(owner)
+            sends += int((n - _needed(n, threshold) + 1).sum())
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(found, -1).astype(np.int32)), pa.array(np.append(total[found], sends).astype(np.int64))], ["h", "n"])
+
+    counted = blobs.mapInArrow(count, "h int, n bigint").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").toArrow()  # at most HASHES rows
+    h, n = counted["h"].to_numpy(), counted["n"].to_numpy()
+    table = np.ones(HASHES, dtype=np.int32)
+    table[h[h >= 0]] = n[h >= 0]
+    common = int(max(parallel * 2, -(-int(n[h < 0].sum()) // BUCKET_ROWS)))
+    loads = spark.sparkContext.broadcast(table)
+    bucket_of = lambda u: np.mod((u * 0x9E3779B1 & 0xFFFFFFFF) >> 7, common)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, seen, load = _Hashed(), np.zeros(0, dtype=np.int64), loads.value
+        for batch in unpacked(batches):
+            # Copies within a task are sent once; what is known of earlier batches is bounded.
+            ids = batch.column("class_id").to_numpy()
+            fresh = np.unique(ids, return_index=True)[1]
+            fresh = np.sort(fresh[~np.isin(ids[fresh], seen)])
+            seen = np.concatenate([seen if len(seen) < _AT_ONCE else seen[:0], ids[fresh]])
+            batch, ids = batch.take(pa.array(fresh)), ids[fresh]
+            owner, h = _hashed(batch.column("words"), known)
+            size = np.bincount(owner, minlength=len(ids))
+            sketch = np.zeros(len(ids), dtype=np.uint64)
+            np.bitwise_xor.at(sketch, owner, np.uint64(1) << (h >> 22 & 63).astype(np.uint64))
+            unit = h & (HASHES - 1)
+            order = np.lexsort((unit, load[unit], owner))
+            unit = unit[order]  # owner stays, as it is the first key
+            again = np.concatenate([[False], (unit[1:] == unit[:-1]) & (owner[1:] == owner[:-1])])
+            run = np.arange(len(unit)) - np.maximum.accumulate(np.where(again, 0, np.arange(len(unit))))
+            spread = load[unit]
+            unit |= np.minimum(run, 1023) << 22
+            start = _starts(size)
+            place = np.arange(len(unit)) - start[owner]
+            last = size - _needed(size, threshold)  # the last leading place
+            leads = (place <= last[owner]) & (spread > 1) & (size[owner] >= 3)
+            single = (_depth(size) == 1) & (_depth(np.floor(size / threshold + _EPS)) == 1)
+            rows, units, owners = [], [], []
+
+            def add(bucket: np.ndarray, of: np.ndarray, kind: int, begin: np.ndarray, sizes: np.ndarray, before: list[np.ndarray]) -> None:
+                lengths = sizes + len(before)
+                out, first = np.empty(int(lengths.sum()), dtype=np.int64), _starts(lengths)
+                for k, x in enumerate(before):
+                    out[first + k] = x
+                out[_range(first + len(before), sizes)] = unit[_range(begin, sizes)]
+                owners.append(np.repeat(np.arange(len(of)), lengths) + sum(len(r[0]) for r in rows))
+                rows.append((bucket, of, np.full(len(of), kind)))
+                units.append(out)
+
+            # By one unit: its bucket gets the units from the first of the text that is the bucket's.
+            calm = np.flatnonzero(leads & (spread <= hot_from) & ~single[owner])
+            sent, at = np.unique(owner[calm] << 32 | bucket_of(unit[calm]), return_index=True)
+            begin = calm[at]
+            add(sent & 0xFFFFFFFF, sent >> 32, 0, begin, last[sent >> 32] + 3 - place[begin], [])
+            alone = np.flatnonzero(leads & (spread <= hot_from) & single[owner])
+            add(bucket_of(unit[alone]), owner[alone], 1, alone, np.zeros(len(alone), dtype=np.int64), [unit[alone]])
+            # By two units: the third is one of those after them.
+            hot = np.flatnonzero(leads & (spread > hot_from))
+            seconds = last[owner[hot]] + 1 - place[hot]
+            i, j = np.repeat(hot, seconds), _range(hot + 1, seconds)
+            add(bucket_of(unit[i] * 31 + unit[j]), owner[i], 2, j + 1, last[owner[i]] + 3 - place[j] - 1, [unit[i], unit[j]])
+            bucket, of, kind = (np.concatenate(c) for c in zip(*rows))
+            lists = _lists(np.concatenate(owners), np.concatenate(units).astype(np.uint32).view(np.int32), len(of))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), pa.array(ids[of]), pa.array(sketch[of].view(np.int64)), pa.array((size[of] * 4 + kind).astype(np.int32)), lists], ["bucket", "class_id", "sketch", "meta", "units"])
+
+    def match(key: tuple, rows: pa.Table) -> pa.Table:
+        bucket, ids, meta = key[0].as_py(), rows["class_id"].to_numpy(), rows["meta"].to_numpy().astype(np.int64)
+        size, kind = meta >> 2, meta & 3
+        sketch = rows["sketch"].to_numpy().view(np.uint64)
+        owner, unit = _flat(rows["units"])
+        unit &= 0xFFFFFFFF
+        length = np.bincount(owner, minlength=len(ids))
+        start = _starts(length)
+        place = np.arange(len(unit)) - start[owner]
+        pairs = [np.zeros((0, 2), dtype=np.int64)]
+
+        def joined(keys: np.ndarray, of: np.ndarray) -> None:
+            order = np.argsort(keys, kind="stable")
+            keys, of = keys[order], of[order]
+            if not len(keys):
+                return
+            edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            runs = np.diff(np.append(edges, len(keys)))
+            partners = np.repeat(edges + runs, runs) - np.arange(len(keys)) - 1
+            hit = np.flatnonzero(partners)
+            partners = partners[hit]
+            total, a = np.cumsum(partners), 0
+            while a < len(hit):
+                b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + _AT_ONCE, "right")))
+                x, y = of[np.repeat(hit[a:b], partners[a:b])], of[_range(hit[a:b] + 1, partners[a:b])]
+                both = size[x] + size[y]
+                fits = np.bitwise_count(sketch[x] ^ sketch[y]) <= both - 2 * np.ceil(both * (threshold / (1 + threshold)) - _EPS)
+                x, y = x[fits], y[fits]
+                fits = (np.minimum(size[x], size[y]) >= np.maximum(size[x], size[y]) * threshold - _EPS) & (ids[x] != ids[y])
+                x, y = ids[x[fits]], ids[y[fits]]
+                pairs.append(np.unique(np.column_stack([np.minimum(x, y), np.maximum(x, y)]), axis=0))
+                a = b
+
+        own = (bucket_of(unit) == bucket) & (place < length[owner] - 2) & (kind[owner] == 0)
+        depths = [(_depth(size) == d) | (_depth(np.floor(size / threshold + _EPS)) == d) for d in (1, 2, 3)]
+        three = depths[2][owner] & (kind[owner] == 0)
+        key3, of3 = _triples(owner[three], unit[three], own[three], len(ids))
+        second = np.flatnonzero(own & depths[1][owner])
+        reach = length[owner[second]] - 2 - place[second]  # up to the last place but one
+        key2, of2 = _mix(np.repeat(unit[second], reach), unit[_range(second + 1, reach)], np.full(int(reach.sum()), 2)), np.repeat(owner[second], reach)
+        first = np.flatnonzero((own | (kind[owner] == 1)) & depths[0][owner])
+        key1, of1 = _mix(unit[first], np.full(len(first), 1), np.full(len(first), 1)), owner[first]
+        third = np.flatnonzero((kind[owner] == 2) & (place > 1))
+        at = start[owner[third]]
+        keyh, ofh = _mix(unit[at] + 7, unit[at + 1], unit[third]), owner[third]
+        for keys, of in ((key3, of3), (key2, of2), (key1, of1), (keyh, ofh)):
+            joined(keys, of)
+        a, b = np.unique(np.concatenate(pairs), axis=0).T
+        return pa.table({"class_a": a, "class_b": b})
+
+    parts = max(parallel, common // 2)
+    sent = blobs.mapInArrow(send, "bucket int, class_id bigint, sketch bigint, meta int, units array<int>").repartition(parts, "bucket")
+    return sent.groupBy("bucket").applyInArrow(match, "class_a bigint, class_b bigint").distinct()
+
+
+def similar_classes(blobs: DataFrame, schema: str, threshold: float) -> DataFrame:
+    """(class_a, class_b), class_a < class_b: every pair of different word sets with that similarity or more.
+
+    blobs: packed rows of `schema` with (class_id, words). Similarity is shared words over all words of both. Sets of one
+    or two words are similar only to themselves. Sets are compared in full, whatever their size. Works for
+    thresholds above 2/3, for which sets of three or more words overlap in at least three.
+    """
+    pairs = cut(candidates(blobs, threshold))
+    ends = pairs.select(F.explode(F.array("class_a", "class_b")))
+    words = members_of(blobs, schema, "class_id", ends).select("class_id", F.split("words", " ").alias("words")).dropDuplicates(["class_id"])
+    sides = [words.select(F.col("class_id").alias(f"class_{s}"), F.col("words").alias(f"words_{s}")) for s in "ab"]
+    shared, total = F.size(F.array_intersect("words_a", "words_b")), F.size("words_a") + F.size("words_b")
+    return pairs.join(sides[0], "class_a").join(sides[1], "class_b").where(shared / (total - shared) >= threshold - _EPS).select("class_a", "class_b")
 
 
 def same_title(a: str, b: str) -> bool:
@@ -202,24 +308,36 @@ def near_duplicates(rows: DataFrame, threshold: float, salts: int = 4) -> DataFr
     """(id_a, id_b), id_a < id_b: every pair of rows (id, text, title) of similar text and same title.
 
     Rows with a null or blank title, or a text without words, match nothing. An id that comes several times counts
-    once. Texts with the same word set form one class, and only classes are compared; titles are compared once per
+    once.
+    """
+    rows = rows.where("id is not null and text is not null and trim(title) <> ''").dropDuplicates(["id"])
+    titles = rows.select("title").distinct().select(F.col("title").alias("key"), "title")
+    return near_unique(rows.withColumnRenamed("title", "key"), titles, threshold, salts)
+
+
+def near_unique(rows: DataFrame, titles: DataFrame, threshold: float, salts: int = 4) -> DataFrame:
+    """near_duplicates of rows (id, text, key), each id once, with titles (key, title), each key once; rows without a
+    title match nothing.
+
+    Texts with the same word set form one class, and only classes are compared; titles are compared once per
     pair of distinct titles that meet. Classes and titles are expanded to rows at the end, over salts, so a class
-    that holds a large part of the rows is not left to one task.
+    that holds a large part of the rows is not left to one task. A class is a 64-bit hash of its words: that two sets
+    share one is unlikely below a billion sets. Titles are looked up only for texts that have a partner.
     """
-    texts = (
-        rows.where("id is not null and text is not null and trim(title) <> ''")
-        .select("id", "title", F.array_sort(words_of("text")).alias("words"))
-        .where("size(words) > 0")
-        .dropDuplicates(["id"])
-        .withColumn("class_id", F.xxhash64("words"))
-    )
-    texts = cut(texts)
-    classes = texts.groupBy("words", "class_id").agg(F.min("id").alias("first")).select(F.col("first").alias("class_id"), "words", F.col("class_id").alias("hash"))
-    classes = cut(classes)
-    members = texts.select("id", "title", "words", F.col("class_id").alias("hash")).join(classes, ["hash", "words"]).select("class_id", "title", "id")
-    members = cut(members)
+    words = F.array_sort(words_of("text"))
+    texts = rows.where("id is not null and text is not null and key is not null").select("id", "key", words.alias("words")).where("size(words) > 0")
+    texts = texts.select("id", "key", F.xxhash64("words").alias("class_id"), F.array_join("words", " ").alias("words"))
+    schema, blobs = _schema(texts), packed_cut(texts)
+    alike = cut(similar_classes(blobs, schema, threshold))
+
+    def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in unpacked(batches):
+            yield pa.RecordBatch.from_arrays([batch.column("class_id")], ["class_id"])
+
+    several = blobs.mapInArrow(ids, "class_id bigint").groupBy("class_id").count().where("count > 1").select("class_id")
+    wanted = alike.select(F.explode(F.array("class_a", "class_b"))).union(several)
+    members = cut(members_of(blobs, schema, "class_id", wanted).join(titles, "key").select("class_id", "title", "id"))
     titled = members.groupBy("class_id", "title").agg(F.count(F.lit(1)).alias("m"))
-    alike = similar_classes(classes.select("class_id", "words"), threshold).select("class_a", "class_b")
     same = members.groupBy("class_id").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select(F.col("class_id").alias("class_a"), F.col("class_id").alias("class_b"))
     met = (
         alike.unionByName(same)

@@ -244,6 +244,21 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, hot):
     assert near.near_duplicates(df.limit(0), 0.72).count() == 0
 
 
+def test_near_duplicates_shuffle_little(spark):
+    def shuffled():
+        stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    rnd = random.Random(4)
+    words = [f"word{i}" for i in range(800)]
+    data = [(i, " ".join([f"rare{i}", *rnd.sample(words, 19)]), "title") for i in range(6000)]
+    data += [(10_000 + i, data[i][1].replace(f"rare{i}", "other"), "title") for i in range(0, 6000, 10)]
+    df = spark.createDataFrame(data, "id bigint, text string, title string")
+    before = shuffled()
+    assert set(rows(near.near_duplicates(df, 0.72))) == {(i, 10_000 + i) for i in range(0, 6000, 10)}
+    assert shuffled() - before < 8 * sum(len(t) for _, t, _ in data)
+
+
 def test_titles():
     same = [("Harwick Dictionary", "Dictionary, Harwick"), ("Harwick Dictionary", "The Harwick Dict."), ("Penmoor American Dictionary", "Pnemoor-American Dictionary online"), ("A B", "a b 3rd edition")]
     other = [("Harwick Dictionary", "Penmoor Dictionary"), ("Harwick Dictionary", "Harwick"), ("", "x")]
