@@ -25,8 +25,8 @@ from collections.abc import Iterable, Iterator, Mapping, Sequence
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +53,10 @@ def words_of(text: str) -> list[str]:
     """Distinct words in consistent characters and lower case, in order; hyphenated words are one."""
     if text.isascii():
         return list(dict.fromkeys(_WORD.findall(text.lower())))
-    text = "".join(c for c in unicodedata.normalize("NFKC", text) if unicodedata.category(c) != "Cf")
+    text = unicodedata.normalize("NFKC", text)
+    for c in set(text):
+        if c > "\x7f" and unicodedata.category(c) == "Cf":
+            text = text.replace(c, "")
     words = [w.translate(_ALIKE) if not w.isascii() and _LATIN.search(w) else w for w in _WORD.findall(text)]
     return list(dict.fromkeys(w.lower() for w in words))
 
@@ -62,24 +65,60 @@ def term_of(word: str) -> int:
     return zlib.crc32(word.encode()) & (NAMES - 1)
 
 
-class _Known(dict):
-    """Hashes of words seen so far; emptied before it grows large."""
+#: Of each byte: its ASCII lower case, and whether it belongs to a word, as all beyond ASCII do in what words_of gives.
+_LOWER = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
+_INSIDE = np.array([c > 127 or chr(c).isalnum() for c in range(256)])
 
-    def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        t = self[word] = term_of(word)
-        return t
+
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, table >> 1 ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+_CRC = _crc_table()
+
+
+def _terms_of_bytes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """term_of of many words of lower case: the checksums of all of them together, byte by byte."""
+    order = np.argsort(-size, kind="stable")
+    crc, start = np.full(len(size), 0xFFFFFFFF, dtype=np.uint32), start[order]
+    longer = len(size) - np.cumsum(np.bincount(size))  # words of more bytes
+    for k, n in enumerate(longer[:-1].tolist()):
+        crc[:n] = _CRC[(crc[:n] ^ data[start[:n] + k]) & 0xFF] ^ crc[:n] >> 8
+    out = np.empty(len(size), dtype=np.int64)
+    out[order] = ~crc & np.uint32(NAMES - 1)
+    return out
+
+
+def hashed_texts(texts: pa.Array) -> pa.ListArray:
+    """The hashed words of each text, ascending; null gives none. The words of a batch are found and hashed as one run of
+    bytes; only texts beyond ASCII go through words_of first, each by itself."""
+    n = len(texts)
+    texts = pc.fill_null(texts, "")
+    other = pc.invert(pc.string_is_ascii(texts))
+    texts = pc.replace_with_mask(texts, other, pa.array([" ".join(words_of(t)) for t in texts.filter(other).to_pylist()], texts.type))
+    # A separator after each text: no word goes on into the next one.
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), texts), "\n")[0]
+    data = _LOWER[np.frombuffer(joined.as_buffer(), dtype=np.uint8)]
+    inside = np.concatenate([[False], _INSIDE[data], [False]])
+    hyphen = np.flatnonzero(data == ord("-")) + 1
+    inside[hyphen[inside[hyphen - 1] & inside[hyphen + 1]]] = True
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = edges[::2], edges[1::2]
+    key = _unique(np.searchsorted(ends, start, "right") << 32 | _terms_of_bytes(data, start, end - start))
+    return _lists(key >> 32, key & 0xFFFFFFFF, n)
 
 
 def terms_column(text: str) -> Column:
-    """array<int>: the hashed words of a text; null gives none."""
-    known = _Known()
+    """array<int>: the distinct hashed words of a text; null gives none."""
 
-    def hashed(texts: pd.Series) -> pd.Series:
-        return pd.Series([[known[w] for w in words_of(t)] if t else [] for t in texts])
+    def hashed(texts: pa.Array) -> pa.Array:
+        return hashed_texts(texts)
 
-    return F.pandas_udf(hashed, "array<int>")(text)
+    return F.arrow_udf(hashed, "array<int>")(text)
 
 
 def kind_term(kind: str | Column) -> Column:
@@ -97,6 +136,11 @@ def _unique(values: np.ndarray) -> np.ndarray:
     return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
 
 
+def _among(values: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Which values are in an ascending table; looked up, as np.isin would sort the values."""
+    return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values if len(table) else np.zeros(len(values), dtype=bool)
+
+
 def _starts(sizes: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64) if len(sizes) else np.zeros(0, dtype=np.int64)
 
@@ -189,7 +233,7 @@ class Vocabulary:
         return self._sorted(np.concatenate([owner, np.repeat(owner, n)]), np.concatenate([terms, self._grouped[_range(low, n)]]))
 
     def query_codes(self, terms: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return self._sorted(owner, np.where(np.isin(terms, self._either), terms + TERMS, self.canonical_array(terms)))
+        return self._sorted(owner, np.where(_among(terms, self._either), terms + TERMS, self.canonical_array(terms)))
 
     def _sorted(self, owner: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         key = _unique(owner << 32 | (self.codes(terms) + _UNKNOWN))
@@ -302,14 +346,14 @@ def search_bucket(records: tuple[np.ndarray, np.ndarray, int], asked: Asked, ins
     at_least = asked.least - (asked.sizes - np.bitwise_count(query_sketch))  # terms that share a bit may hide each other
     place = np.arange(len(asked.owner)) - asked.start[asked.owner]
     within = place < asked.prefix[asked.owner]
-    keyed = np.isin(codes, _unique(asked.codes[within & asked.deep[asked.owner]]))
+    keyed = _among(codes, _unique(asked.codes[within & asked.deep[asked.owner]]))
     count = np.bincount(owner[keyed], minlength=n)
     many = count > TRIPLE_TERMS
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def judged(record: np.ndarray, query: np.ndarray) -> None:
-        pair = _unique(query * n + record)
-        record, query = pair % n, pair // n
+        pair = _unique(record * asked.n + query)
+        record, query = pair // asked.n, pair % asked.n
         fits = np.bitwise_count(sketch[record] & query_sketch[query]) >= at_least[query]
         out.append(_score(asked, held, leads, record[fits], query[fits]))
 
@@ -423,13 +467,35 @@ def term_counts(records: DataFrame, at_least: int) -> tuple[np.ndarray, np.ndarr
 
 #: Tied pairs, times terms, whose term pairs a worker counts at once.
 _PAIRS_AT_ONCE = 4_000_000
+#: Tied pairs whose terms are packed into one row.
+_PACKED_ROWS = 2000
+
+
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (a, b) of terms those that only one side has, where b has some. Many rows become one of four lists, as
+    writing and reading a row costs more than its terms: the terms of each side and how many each row has."""
+    for batch in (b.slice(i, _PACKED_ROWS) for b in batches for i in range(0, b.num_rows, _PACKED_ROWS)):
+        a, b = (_unique(owner << 32 | terms) for owner, terms in (_flat(batch.column(c)) for c in (0, 1)))
+        x, y = a[~_among(a, b)], b[~_among(b, a)]
+        sizes = [np.bincount(side >> 32, minlength=batch.num_rows) for side in (x, y)]
+        kept = sizes[1] > 0
+        values = [x[kept[x >> 32]] & 0xFFFFFFFF, sizes[0][kept], y & 0xFFFFFFFF, sizes[1][kept]]
+        yield pa.RecordBatch.from_arrays([_lists(np.zeros(len(v), dtype=np.int64), v, 1) for v in values], ["x", "xs", "y", "ys"])
+
+
+def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]]:
+    """(number of rows, (owners, terms) of x, the same of y) of what _differences wrote."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            x, xs, y, ys = (_flat(c.slice(i, 1))[1] for c in batch.columns)
+            yield len(ys), (np.repeat(np.arange(len(xs)), xs), x), (np.repeat(np.arange(len(ys)), ys), y)
 
 
 def word_pairs(alone: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(y, x, share) as arrays: the index terms x that at least 0.25 of the pairs that have y in the query alone have in
     the record alone, six times as often as x is among such pairs in general, in three pairs or more.
 
-    alone: (x, y), arrays of terms below NAMES. Every pair counts. The driver gets two tables over terms and what is
+    alone: what _differences gives, of terms below NAMES. Every pair counts. The driver gets two tables over terms and what is
     found, at most four times as many rows as a record has terms for each y.
     """
     counts = alone.select(F.explode("y").alias("t"), F.lit(1).alias("y"), F.lit(0).alias("x")).unionByName(alone.select(F.explode("x").alias("t"), F.lit(0).alias("y"), F.lit(1).alias("x")))
@@ -444,11 +510,10 @@ def word_pairs(alone: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each y, with those x that are frequent enough for it."""
         seen, held = tables.value
-        for batch in batches:
-            (owner_x, x), (owner_y, y) = _flat(batch.column(0)), _flat(batch.column(1))
+        for rows, (owner_x, x), (owner_y, y) in _sides(batches):
             keep_x, keep_y = held[x] > 0, seen[y] > 0
             (owner_x, x), (owner_y, y) = (owner_x[keep_x], x[keep_x]), (owner_y[keep_y], y[keep_y])
-            sizes = np.bincount(owner_x, minlength=batch.num_rows)
+            sizes = np.bincount(owner_x, minlength=rows)
             start, n = _starts(sizes), sizes[owner_y]
             by, x = np.repeat(np.arange(len(y)), n), x[_range(start[owner_y], n)]
             fits = held[x] >= 0.25 * seen[y[by]]
@@ -485,7 +550,7 @@ def word_pairs(alone: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 keys, n, waiting, size = keys[last], n[last], [], 0
         yield found(*merged())
 
-    got = alone.select("x", "y").mapInArrow(split, "y int, x array<int>").repartition("y").sortWithinPartitions("y").mapInArrow(count, "y int, x int, n int").toArrow()
+    got = alone.mapInArrow(split, "y int, x array<int>").repartition("y").sortWithinPartitions("y").mapInArrow(count, "y int, x int, n int").toArrow()
     named = np.zeros(NAMES, dtype=bool)
     named[got["x"].to_numpy()] = True
     chosen = alone.sparkSession.sparkContext.broadcast(named)
@@ -493,14 +558,13 @@ def word_pairs(alone: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each x that was found, the pairs of it and a y."""
         seen, _ = tables.value
-        for batch in batches:
-            (owner_x, x), (owner_y, y) = _flat(batch.column(0)), _flat(batch.column(1))
+        for rows, (owner_x, x), (owner_y, y) in _sides(batches):
             wanted = chosen.value[x]
             terms, at = np.unique(x[wanted], return_inverse=True)
-            n = np.bincount(owner_y[seen[y] > 0], minlength=batch.num_rows)[owner_x[wanted]]
+            n = np.bincount(owner_y[seen[y] > 0], minlength=rows)[owner_x[wanted]]
             yield pa.RecordBatch.from_arrays([pa.array(terms.astype(np.int32)), pa.array(np.bincount(at, weights=n, minlength=len(terms)).astype(np.int64))], ["x", "n"])
 
-    general = alone.select("x", "y").mapInArrow(beside, "x int, n bigint").groupBy("x").agg(F.sum("n").alias("n")).toArrow()
+    general = alone.mapInArrow(beside, "x int, n bigint").groupBy("x").agg(F.sum("n").alias("n")).toArrow()
     base = np.zeros(NAMES, dtype=np.int64)
     base[general["x"].to_numpy()] = general["n"].to_numpy()
     y, x = got["y"].to_numpy(), got["x"].to_numpy()
@@ -527,7 +591,7 @@ def learn_vocabulary(sets: DataFrame, index: DataFrame, queries: DataFrame, tied
     words = F.array_except(F.filter("terms", lambda t: t < NAMES), F.array(F.coalesce("kind", F.lit(-1))))
     side = lambda df, c, n: df.select(F.col("id").alias(c), words.alias(n))
     both = tied.join(side(index, "index_id", "a"), "index_id").join(side(queries, "query_id", "b"), "query_id")
-    alone = cut(both.select(F.array_except("a", "b").alias("x"), F.array_except("b", "a").alias("y")).where("size(y) > 0"))
+    alone = cut(both.select("a", "b").mapInArrow(_differences, "x array<int>, xs array<int>, y array<int>, ys array<int>"))
     options: dict[int, list[tuple[float, int]]] = defaultdict(list)
     for y, x, share in zip(*(c.tolist() for c in word_pairs(alone))):
         options[y].append((share, x))
@@ -558,6 +622,8 @@ def _lists(owner: np.ndarray, values: np.ndarray, n: int) -> pa.ListArray:
 
 
 _SHORT = 1 << 16
+#: How queries use a term: at all, as a leading term of a query that asks for one or for three, within a prefix of three.
+_NAMED, _ALONE, _FIRST, _KEYED = 1, 2, 4, 8
 _CODES = "rare array<int>, often array<smallint>"
 
 
@@ -606,11 +672,24 @@ def retrieve(index: DataFrame, queries: DataFrame, vocabulary: Vocabulary, share
     # Frequent terms that no query has are left out of the records, and those that lead none have no bucket. Where one
     # leads only queries that ask for three terms, a record needs two more after it that are in such a prefix.
     often = int(np.searchsorted(vocabulary.ranked_df, vocabulary.n_index // 1000 + 1))
-    at = F.col("place")
-    uses = {"alone": (at < F.col("lead")) & (F.col("prefix") == 0), "first": (at < F.col("lead")) & (F.col("prefix") > 0), "keyed": at < F.col("prefix")}
-    met = asked.select("lead", "prefix", F.posexplode(F.concat("rare", F.transform("often", lambda c: F.lit(known - 1 - (_SHORT >> 1)) - c.cast("int")))).alias("place", "code")).where(F.col("code") >= often).groupBy("code").agg(*[F.max(u.cast("int")).alias(n) for n, u in uses.items()]).toArrow()
-    code = met["code"].to_numpy()
-    chosen = {"named": np.sort(code)} | {n: np.sort(code[met[n].to_numpy() == 1]) for n in uses}
+
+    def used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The frequent terms of queries, with a bit for each use."""
+        bits = np.zeros(known - often, dtype=np.uint8)
+        for batch in batches:
+            owner, codes = _unpacked(batch.column(0), batch.column(1), known)
+            place = np.arange(len(owner)) - _starts(np.bincount(owner, minlength=batch.num_rows))[owner]
+            seen = codes >= often
+            owner, codes, place = owner[seen], codes[seen] - often, place[seen]
+            lead, prefix = (batch.column(c).to_numpy(zero_copy_only=False)[owner] for c in (2, 3))
+            for bit, of in ((_NAMED, place >= 0), (_ALONE, (place < lead) & (prefix == 0)), (_FIRST, (place < lead) & (prefix > 0)), (_KEYED, place < prefix)):
+                bits[codes[of]] |= bit
+        code = np.flatnonzero(bits)
+        yield pa.RecordBatch.from_arrays([pa.array((code + often).astype(np.int32)), pa.array(bits[code].astype(np.int32))], ["code", "bits"])
+
+    met = asked.select("rare", "often", "lead", "prefix").mapInArrow(used, "code int, bits int").groupBy("code").agg(F.bit_or("bits").alias("bits")).toArrow()
+    uses = np.zeros(known - often, dtype=np.uint8)
+    uses[met["code"].to_numpy() - often] = met["bits"].to_numpy()
     total_rows = int(vocabulary.ranked_df.sum(dtype=np.int64))
     common = int(max(spark.sparkContext.defaultParallelism * 2, -(-total_rows // bucket_rows)))
     buckets = Buckets(vocabulary, common, bucket_rows)
@@ -620,13 +699,15 @@ def retrieve(index: DataFrame, queries: DataFrame, vocabulary: Vocabulary, share
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             owner, terms = _flat(batch.column(1))
             owner, codes = held().record_codes(terms, owner)
-            has = lambda n: (codes < often) | np.isin(codes, chosen[n])
-            used = has("named")
-            owner, codes = owner[used], codes[used]
-            keyed = np.cumsum(has("keyed")[::-1])[::-1]
+            bits = np.full(len(codes), 255, dtype=np.uint8)
+            bits[codes >= often] = uses[codes[codes >= often] - often]
+            named = bits > 0
+            owner, codes, bits = owner[named], codes[named], bits[named]
+            is_keyed = bits & _KEYED > 0
+            keyed = np.cumsum(is_keyed[::-1])[::-1]
             ends = np.cumsum(np.bincount(owner, minlength=len(ids)))
-            later = keyed - has("keyed") - np.append(keyed, 0)[ends[owner]]
-            goes = has("alone") | (has("first") & (later >= 2))
+            later = keyed - is_keyed - np.append(keyed, 0)[ends[owner]]
+            goes = (bits & _ALONE > 0) | ((bits & _FIRST > 0) & (later >= 2))
             first, n = buckets.of(codes[goes])
             salt = np.mod(ids.astype(np.uint64)[owner[goes]] * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33), n.astype(np.uint64)).astype(np.int64)
             # Terms before the bucket's first one are left out: what has one of them in common is found whole elsewhere.

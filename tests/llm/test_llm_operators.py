@@ -1,9 +1,11 @@
 import pickle
 import random
+import time
 import tracemalloc
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -215,6 +217,28 @@ def test_calibration_uses_all_examples(spark):
     assert np.abs(x.T @ (y - 1 / (1 + np.exp(-x @ beta))) - 1e-5 * n * (beta - prior)).max() < 1e-3
 
 
+def test_texts_are_hashed_together():
+    odd = [None, "", "-", "a-", "-a", "A-b--c", "a_b 9-9", "end", "start", "\n", "a a A", "don't", "\x00a\x1fb", "é", "a é-b", "ｂｉｒｄ grаin x-y", "x" * 3000, "ﬁ-x", "soft\u00adhy", "İz Σς"]
+    expected = [sorted({retrieval.term_of(w) for w in retrieval.words_of(t)}) if t else [] for t in odd]
+    assert [retrieval.hashed_texts(pa.array(odd)[i:]).to_pylist() for i in (0, 5, len(odd))] == [expected, expected[5:], []]
+    rnd = random.Random(3)
+    texts = [" ".join(f"word{rnd.randrange(5000)}" for _ in range(20)) for _ in range(20_000)]
+    began = time.process_time()
+    one_by_one = [sorted({retrieval.term_of(w) for w in retrieval.words_of(t)}) for t in texts]
+    between = time.process_time()
+    together = retrieval.hashed_texts(pa.array(texts))
+    assert time.process_time() - between < 0.6 * (between - began) and together.to_pylist() == one_by_one
+
+
+def test_terms_of_one_side_are_packed():
+    rows = [([3, 1, 3], [2, 1]), ([], [5]), ([4], []), ([7, 8], [8])]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.list_(pa.int32())) for c in zip(*rows)], ["a", "b"])
+    packed = list(retrieval._differences([batch]))
+    assert [b.to_pylist() for b in packed] == [[{"x": [3], "xs": [1, 0], "y": [2, 5], "ys": [1, 1]}]]
+    ((n, x, y),) = retrieval._sides(packed)
+    assert (n, [v.tolist() for v in (*x, *y)]) == (2, [[0], [3], [0, 1], [2, 5]])
+
+
 def test_words_of_entities():
     assert retrieval.words_of("A level-topped ｂｉｒｄ, grаin; grain") == ["a", "level-topped", "bird", "grain"]
 
