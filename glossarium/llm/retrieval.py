@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossarium.llm.lookalikes import CYRILLIC_AS_LATIN, GREEK_AS_LATIN
-from glossarium.session import cut
+from glossarium.session import cut, sweep
 
 #: Hashed words and kinds lie below NAMES, hashed names from there on.
 TERMS = 1 << 23
@@ -491,6 +491,13 @@ def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, tuple[np.nd
             yield len(ys), (np.repeat(np.arange(len(xs)), xs), x), (np.repeat(np.arange(len(ys)), ys), y)
 
 
+def _by_term(terms: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The number of each term, 0 if it is not named."""
+    table = np.zeros(NAMES, dtype=n.dtype)
+    table[terms] = n
+    return table
+
+
 def word_pairs(alone: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(y, x, share) as arrays: the index terms x that at least 0.25 of the pairs that have y in the query alone have in
     the record alone, six times as often as x is among such pairs in general, in three pairs or more.
@@ -500,16 +507,14 @@ def word_pairs(alone: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """
     counts = alone.select(F.explode("y").alias("t"), F.lit(1).alias("y"), F.lit(0).alias("x")).unionByName(alone.select(F.explode("x").alias("t"), F.lit(0).alias("y"), F.lit(1).alias("x")))
     counts = counts.groupBy("t").agg(F.sum("y").cast("int").alias("y"), F.sum("x").cast("int").alias("x")).where("y >= 3 or x >= 3").toArrow()
-    seen, held = np.zeros(NAMES, dtype=np.int32), np.zeros(NAMES, dtype=np.int32)
-    for table, c in ((seen, "y"), (held, "x")):
-        n = counts[c].to_numpy()
-        table[counts["t"].to_numpy()[n >= 3]] = n[n >= 3]
-    total = max(1, int(seen.sum(dtype=np.int64)))
-    tables = alone.sparkSession.sparkContext.broadcast((seen, held))
+    often = [(counts["t"].to_numpy()[n >= 3], n[n >= 3]) for n in (counts[c].to_numpy() for c in ("y", "x"))]
+    seen, total = _by_term(*often[0]), max(1, int(often[0][1].sum(dtype=np.int64)))
+    # Each executor writes a broadcast to its disk, so workers get the terms there are and lay out the tables themselves.
+    tables = alone.sparkSession.sparkContext.broadcast(often)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each y, with those x that are frequent enough for it."""
-        seen, held = tables.value
+        seen, held = (_by_term(*t) for t in tables.value)
         for rows, (owner_x, x), (owner_y, y) in _sides(batches):
             keep_x, keep_y = held[x] > 0, seen[y] > 0
             (owner_x, x), (owner_y, y) = (owner_x[keep_x], x[keep_x]), (owner_y[keep_y], y[keep_y])
@@ -523,7 +528,7 @@ def word_pairs(alone: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come in order of y; what a y has so far is kept until the next y."""
-        seen, _ = tables.value
+        seen = _by_term(*tables.value[0])
         keys, n, waiting, size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), [], 0
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
@@ -551,22 +556,21 @@ def word_pairs(alone: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         yield found(*merged())
 
     got = alone.mapInArrow(split, "y int, x array<int>").repartition("y").sortWithinPartitions("y").mapInArrow(count, "y int, x int, n int").toArrow()
-    named = np.zeros(NAMES, dtype=bool)
-    named[got["x"].to_numpy()] = True
-    chosen = alone.sparkSession.sparkContext.broadcast(named)
+    chosen = alone.sparkSession.sparkContext.broadcast(_unique(got["x"].to_numpy()))
 
     def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each x that was found, the pairs of it and a y."""
-        seen, _ = tables.value
+        seen = _by_term(*tables.value[0])
         for rows, (owner_x, x), (owner_y, y) in _sides(batches):
-            wanted = chosen.value[x]
+            wanted = _among(x, chosen.value)
             terms, at = np.unique(x[wanted], return_inverse=True)
             n = np.bincount(owner_y[seen[y] > 0], minlength=rows)[owner_x[wanted]]
             yield pa.RecordBatch.from_arrays([pa.array(terms.astype(np.int32)), pa.array(np.bincount(at, weights=n, minlength=len(terms)).astype(np.int64))], ["x", "n"])
 
     general = alone.mapInArrow(beside, "x int, n bigint").groupBy("x").agg(F.sum("n").alias("n")).toArrow()
-    base = np.zeros(NAMES, dtype=np.int64)
-    base[general["x"].to_numpy()] = general["n"].to_numpy()
+    tables.destroy()
+    chosen.destroy()
+    base = _by_term(general["x"].to_numpy(), general["n"].to_numpy())
     y, x = got["y"].to_numpy(), got["x"].to_numpy()
     share = got["n"].to_numpy() / np.maximum(seen[y], 1)
     kept = share >= 6 * base[x] / total
@@ -825,7 +829,9 @@ def matched(index: DataFrame, queries: DataFrame, tied: DataFrame, accept: float
     sets = index.select(F.col("set").alias("id"), "terms").dropDuplicates(["id"])
     tied = cut(tied.where("index_id is not null and query_id is not null").distinct())
     vocabulary = learn_vocabulary(sets, index, queries, tied)
+    sweep(index.sparkSession)
     found = cut(retrieve(sets, queries.select("id", "terms"), vocabulary, share).withColumnRenamed("index_id", "set"))
+    sweep(index.sparkSession)
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
     described = (
         with_gaps(found).join(index.select("set", F.col("id").alias("index_id"), "name", F.col("kind").alias("index_kind")), "set")

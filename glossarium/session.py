@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark import cloudpickle
@@ -47,3 +48,10 @@ def cut(df: DataFrame) -> DataFrame:
     """df computed once and written to the checkpoint folder, so that later readers survive lost executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files and checkpoints that nothing refers to any more, which it otherwise does only when
+    the driver's memory happens to fill; for use before a step that writes much."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -204,6 +204,16 @@ def test_words_are_learned_from_all_tied_pairs(spark):
     assert {9000 + i: 5000 + i for i in range(groups)} | {200 + i: 100 + i for i in range(50)} == words.same | {y: g[0] for y, g in words.either.items()}
 
 
+def test_word_pairs_broadcast_only_the_terms_there_are(spark, monkeypatch):
+    sizes, send = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda value: sizes.append(len(pickle.dumps(value))) or send(value))
+    index = spark.createDataFrame([(i, [1, 100 + i // 3], None) for i in range(30)], "id bigint, terms array<int>, kind int")
+    queries = spark.createDataFrame([(str(i), [1, 200 + i // 3], None) for i in range(30)], "id string, terms array<int>, kind int")
+    words = retrieval.learn_vocabulary(index.select("id", "terms"), index, queries, spark.createDataFrame([(i, str(i)) for i in range(30)], "index_id bigint, query_id string"))
+    assert {200 + g: 100 + g for g in range(10)} == words.same | {y: g[0] for y, g in words.either.items()}
+    assert sizes and max(sizes) < 10_000
+
+
 def test_calibration_uses_all_examples(spark):
     n = 70_000
     examples = spark.range(n).select(
