@@ -826,9 +826,11 @@ def matched(index: DataFrame, queries: DataFrame, tied: DataFrame, accept: float
     index = described_rows(index).withColumn("name", F.when(F.col("name") != "", name_term("name")))
     index = cut(whole(index, listed("name")).withColumn("set", F.xxhash64("terms")).select("id", "terms", "name", "kind", "set"))
     queries = cut(whole(described_rows(queries).withColumn("names", called), F.col("names")).select("id", "terms", "names", "kind"))
-    sets = index.select(F.col("set").alias("id"), "terms").dropDuplicates(["id"])
+    sets = cut(index.select(F.col("set").alias("id"), "terms").dropDuplicates(["id"]))
     tied = cut(tied.where("index_id is not null and query_id is not null").distinct())
     vocabulary = learn_vocabulary(sets, index, queries, tied)
+    # From here on the sets have the terms of the index: while the buckets are on disk, they are not kept twice.
+    index = cut(index.drop("terms"))
     sweep(index.sparkSession)
     found = cut(retrieve(sets, queries.select("id", "terms"), vocabulary, share).withColumnRenamed("index_id", "set"))
     sweep(index.sparkSession)
